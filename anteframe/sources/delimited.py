@@ -47,8 +47,10 @@ class Format:
             "multiLine": str(self.multiline).lower(),
             "quote": '"',
             "escape": '"',
-            # The header of each file is compared with the schema while it is read.
+            # The header of each file is compared with the schema while it is read, and cells are
+            # counted. Both need whole lines; unused cells are still not turned into columns.
             "enforceSchema": "false",
+            "columnPruning": "false",
             "mode": "PERMISSIVE",
             "columnNameOfCorruptRecord": RAW_LINE,
         }
@@ -103,11 +105,14 @@ def read_raw(
 
 def overlong(df: DataFrame, fmt: Format) -> Column:
     """True for rows with more cells than columns; short rows are merely filled with nulls."""
-    n = len([c for c in df.columns if c != RAW_LINE])
+    cells = [c for c in df.columns if c != RAW_LINE]
+    n = len(cells)
     wider = ", ".join(f"c{i} STRING" for i in range(n + 1))
     options = {"sep": fmt.sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
     extra = F.from_csv(col(RAW_LINE), wider, options)[f"c{n}"]
-    return F.coalesce(extra.isNotNull(), F.lit(False))
+    # Spark reads the raw line only together with a cell, so one is named in the condition.
+    with_a_cell = F.length(F.concat_ws("", col(cells[0]))) >= 0
+    return F.coalesce(extra.isNotNull() & with_a_cell, F.lit(False))
 
 
 def split_bad_lines(df: DataFrame, fmt: Format) -> tuple[DataFrame, DataFrame]:
