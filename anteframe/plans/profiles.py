@@ -23,7 +23,7 @@ def coverage_curve(latest: DataFrame, *, case: Sequence[str], dim: str) -> DataF
     ``latest`` holds at most one row per case and dimension. Ends with the first k that no case
     fulfils. Equally frequent dimensions rank by name. A case counts for every k up to the length
     of its unbroken run of ranks 1, 2, 3, ..., so one count per run length gives the whole curve.
-    The two windows without a partition run over the dimension list, never over cases.
+    The windows without a partition run over the dimension list, never over cases.
     """
     ranks = latest.groupBy(col(dim)).agg(F.count("*").alias("_n"))
     ranks = ranks.withColumn("_r", F.row_number().over(W.orderBy(F.desc("_n"), col(dim))))
@@ -37,15 +37,16 @@ def coverage_curve(latest: DataFrame, *, case: Sequence[str], dim: str) -> DataF
         .groupBy("_len")
         .agg(F.count("*").alias("_cases"))
     )
-    total = runs.agg(F.sum("_cases")).scalar()
     longer = W.orderBy(F.desc("_r")).rowsBetween(W.unboundedPreceding, W.currentRow)
+    # Run length 0 has no rank: it adds to all cases, but is no row of the curve.
     curve = (
-        ranks.join(runs.withColumnRenamed("_len", "_r"), "_r", "left")
+        ranks.join(runs.withColumnRenamed("_len", "_r"), "_r", "full")
         .withColumn("_kept", F.sum(F.coalesce("_cases", F.lit(0))).over(longer))
+        .withColumn("_total", F.last("_kept").over(longer.rowsBetween(0, W.unboundedFollowing)))
         .withColumn("_before", F.lead("_kept").over(W.orderBy(F.desc("_r"))))
-        .where("_before IS NULL OR _before > 0")
+        .where("_r > 0 AND (_r = 1 OR _before > 0)")
     )
-    kept = F.col("_kept") / total * 100.0
+    kept = F.col("_kept") / F.col("_total") * 100.0
     return curve.select(
         F.col("_r").cast("long").alias("k_num_params"),
         col(dim).alias("last_param_added"),

@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from . import codes_and_text, counts, features, histories, rows, values  # noqa: F401
+from . import codes_and_text, counts, features, histories, pipelines, rows, values  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
