@@ -5,19 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Character classes (every Unicode blank, digit and line break) and the header line,
-# e.g. "13.08.2015 ------ RAD -----  Arztbrief  -----  79572/15  ----------------------".
-LINE_BREAK = r"[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
-BLANK = (
-    r"[\t-\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-)
+# Character classes (Unicode line breaks, the other blanks, digits) and the header
+# line, e.g. "13.08.2015 ------ RAD -----  Arztbrief  -----  79572/15  ----------------------".
+BREAKS = r"\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}"
+BLANKS = r"\t\x1f \x{a0}\x{1680}\x{2000}-\x{200a}\x{202f}\x{205f}\x{3000}"
+BLANK = f"[{BLANKS}]"
 DIGIT = r"\p{Nd}"
-HEADER_LINE = (
+HEADER = (
     f"{DIGIT}{{2}}\\.{DIGIT}{{2}}\\.{DIGIT}{{4}}{BLANK}-+{BLANK}[A-Z0-9-]{{3,6}}{BLANK}-+{BLANK}+"
     f"[A-Za-z]{{5,12}}{BLANK}+-+{BLANK}+{DIGIT}{{1,9}}/{DIGIT}{{2}}{BLANK}+-+"
 )
 HEAD_LINES = 4
 
+# The first line that holds a header. The search starts at line starts only and takes each line
+# once, so long texts cost one pass.
+HEADER_LINE = f"(?:\\A|(?<=[{BREAKS}]))[^{BREAKS}]*?{HEADER}[^{BREAKS}]*"
+# A line break together with all blank lines after it.
+NEXT_TEXT = f"[{BREAKS}](?:[{BREAKS}{BLANKS}]*[{BREAKS}])?"
+NOT_BLANK = f"[^{BREAKS}{BLANKS}]"
+
 
 def report_head(content: Column) -> Column:
     """Struct ``(head, number, date)`` of a report text.
@@ -25,18 +31,15 @@ def report_head(content: Column) -> Column:
     A header line gives number and date. Without one the first four lines that are not blank,
     joined, stand in as ``head``. A missing text gives three nulls.
     """
-    lines = F.filter(F.split(content, LINE_BREAK), lambda x: F.regexp_replace(x, BLANK, "") != "")
-    # Blanks include line breaks, so a text without any match has no matching line either and
-    # is spared the line by line search.
-    header = F.when(
-        content.rlike(HEADER_LINE),
-        F.get(F.filter(lines, lambda x: x.rlike(HEADER_LINE)), F.lit(0)),
-    )
+    header = F.nullif(F.regexp_extract(content, HEADER_LINE, 0), F.lit(""))
     without_rules = F.regexp_replace(header, f"{BLANK}+-+{BLANK}*", " ")
     parts = F.split(F.regexp_replace(without_rules, f"^{BLANK}+|{BLANK}+$", ""), " ")
-    head = F.when(header.isNull(), F.array_join(F.slice(lines, 1, HEAD_LINES), ""))
+    # Only the first piece can be blank; what follows the pieces looked at stays unsplit.
+    looked_at = HEAD_LINES + 1
+    pieces = F.slice(F.split(content, NEXT_TEXT, looked_at + 1), 1, looked_at)
+    lines = F.slice(F.filter(pieces, lambda x: x.rlike(NOT_BLANK)), 1, HEAD_LINES)
     return F.struct(
-        head.alias("head"),
+        F.when(header.isNull(), F.array_join(lines, "")).alias("head"),
         F.element_at(parts, -1).alias("number"),
         F.get(parts, F.lit(0)).alias("date"),
     )

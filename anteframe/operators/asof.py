@@ -87,56 +87,52 @@ def latest_per_dimension(
 
     Columns: keys, ``anchor_ts``, ``dim``, ``value``, ``fact_ts``, ``minutes_before``. Facts of
     one case, dimension and time: the one with the greatest ``tiebreak`` wins, without it the
-    greatest value. ``dims`` restricts the dimensions. ``chunk_hours`` (default: ``hours``) may be
-    lowered when a single case and dimension has too many distinct times in one window.
+    greatest value.
+
+    ``dims`` restricts the dimensions; the facts are then read only once. ``chunk_hours``
+    (default: twice ``hours``) may be lowered when one case and dimension has too many distinct
+    times in it; a fact is needed in each chunk that its window reaches.
     """
     keys, window = names(key), _width(hours)
-    width = _width(chunk_hours or hours)
-    reach = -(-window // width)
+    width = _width(chunk_hours or 2 * hours)
 
     known = facts.where(all_present([*keys, dim, fact_ts]))
     if dims is not None:
         known = known.where(col(dim).isin(*dims))
+    reached = F.sequence(
+        _chunk(F.col("_at"), width), _chunk(F.col("_at") + window, width), F.lit(width)
+    )
+
     best = F.max_by(col(value), col(tiebreak)) if tiebreak else F.max(col(value))
     # One row per case, dimension and time: copies are merged before anything is moved.
-    known = (
+    line = (
         known.groupBy(*map(col, [*keys, dim, fact_ts]))
         .agg(best.alias("_value"))
         .select(*map(col, keys), col(dim).alias("_dim"), col(fact_ts).alias("_ts"), "_value")
         .withColumn("_at", micros(F.col("_ts")))
-        .withColumn("_chunk", _chunk(F.col("_at"), width))
-    )
-    # The newest row of a chunk is all that later chunks can need of it.
-    carried = (
-        known.groupBy(*map(col, keys), "_dim", "_chunk")
-        .agg(
-            F.max_by("_ts", "_at").alias("_ts"),
-            F.max_by("_value", "_at").alias("_value"),
-            F.max("_at").alias("_at"),
-        )
-        .withColumn(
-            "_chunk",
-            F.explode(
-                F.sequence(F.col("_chunk") + width, F.col("_chunk") + reach * width, F.lit(width))
-            ),
-        )
+        .withColumn("_chunk", F.explode(reached))
+        .withColumn("_probe", F.lit(False))
     )
     probes = (
         anchors.select(*map(col, keys), col(anchor_ts).alias("_anchor"))
         .where(all_present([*keys, "_anchor"]))
         .distinct()
-    )
-    if dims is not None:
-        kind = known.schema["_dim"].dataType
-        probes = probes.withColumn("_dim", F.explode(F.array(*[F.lit(d).cast(kind) for d in dims])))
-    else:
-        probes = probes.join(known.select(*map(col, keys), "_dim").distinct(), keys)
-    probes = (
-        probes.withColumn("_at", micros(F.col("_anchor")))
+        .withColumn("_at", micros(F.col("_anchor")))
         .withColumn("_chunk", _chunk(F.col("_at"), width))
         .withColumn("_probe", F.lit(True))
     )
-    line = known.unionByName(carried).withColumn("_probe", F.lit(False))
+    # An anchor is set against each listed dimension, or those that its case has in its chunk.
+    if dims is not None:
+        kind = facts.schema[dim].dataType
+        listed = F.array(*[F.lit(d).cast(kind) for d in dims])
+        probes = probes.withColumn("_dim", F.explode(listed))
+    else:
+        present = (
+            known.select(*map(col, keys), col(dim).alias("_dim"), micros(col(fact_ts)).alias("_at"))
+            .select(*map(col, keys), "_dim", F.explode(reached).alias("_chunk"))
+            .distinct()
+        )
+        probes = probes.join(present, [*keys, "_chunk"])
     line = line.unionByName(probes, allowMissingColumns=True)
 
     # At equal times facts come before the anchor, so a fact at the anchor time counts.

@@ -14,33 +14,39 @@ from ..functions import codes, ranges, times
 from ..functions.numbers import capped, floor_bucket, lenient_decimal, percent, reference_decimal
 from ..functions.times import window_label
 from ..operators.aggregate import group_counts, null_counts, row_loss, value_counts
-from ..operators.features import completeness, pivot_counts
+from ..operators.features import completeness
 
 
 def coverage_curve(latest: DataFrame, *, case: Sequence[str], dim: str) -> DataFrame:
     """How many cases have all of the k most frequent dimensions, for k = 1, 2, ...
 
-    ``latest`` holds at most one row per case and dimension. Ends with the first k that no case
-    fulfils. Equally frequent dimensions rank by name. A case counts for every k up to the length
-    of its unbroken run of ranks 1, 2, 3, ..., so one count per run length gives the whole curve.
-    The windows without a partition run over the dimension list, never over cases.
+    Ends with the first k that no case fulfils. Equally frequent dimensions rank by name.
+    A case counts for every k up to the length of its unbroken run of ranks 1, 2, 3, ..., so one
+    count per run length gives the whole curve. Cases with equal sets are counted once for all
+    that follows. Windows without a partition and the list of all ranks hold a row per dimension,
+    as the curve does, never a row per case.
     """
-    ranks = latest.groupBy(col(dim)).agg(F.count("*").alias("_n"))
-    ranks = ranks.withColumn("_r", F.row_number().over(W.orderBy(F.desc("_n"), col(dim))))
-    nth = W.partitionBy(*map(col, case)).orderBy("_r")
-    runs = (
-        latest.select(*map(col, [*case, dim]))
-        .join(ranks, dim)
-        .withColumn("_unbroken", F.row_number().over(nth) == F.col("_r"))
-        .groupBy(*map(col, case))
-        .agg(F.coalesce(F.max(F.when(F.col("_unbroken"), F.col("_r"))), F.lit(0)).alias("_len"))
-        .groupBy("_len")
+    sets = (
+        latest.groupBy(*map(col, case))
+        .agg(F.sort_array(F.collect_set(col(dim))).alias("_set"))
+        .groupBy("_set")
         .agg(F.count("*").alias("_cases"))
     )
+    ranks = (
+        sets.select(F.explode("_set").alias(dim), "_cases")
+        .groupBy(col(dim))
+        .agg(F.sum("_cases").alias("_n"))
+        .select(dim, F.row_number().over(W.orderBy(F.desc("_n"), col(dim))).alias("_r"))
+    )
+    ranked = ranks.agg(F.sort_array(F.collect_list(F.struct("_r", col(dim)))).getField(dim)).scalar()
+    # The first ranked dimension that a set lacks ends its run.
+    lacking = F.get(F.array_except(ranked, "_set"), F.lit(0))
+    run = F.coalesce(F.array_position(ranked, lacking) - 1, F.size(ranked)).cast("int")
+    runs = sets.groupBy(run.alias("_r")).agg(F.sum("_cases").alias("_cases"))
     longer = W.orderBy(F.desc("_r")).rowsBetween(W.unboundedPreceding, W.currentRow)
     # Run length 0 has no rank: it adds to all cases, but is no row of the curve.
     curve = (
-        ranks.join(runs.withColumnRenamed("_len", "_r"), "_r", "full")
+        ranks.join(runs, "_r", "full")
         .withColumn("_kept", F.sum(F.coalesce("_cases", F.lit(0))).over(longer))
         .withColumn("_total", F.last("_kept").over(longer.rowsBetween(0, W.unboundedFollowing)))
         .withColumn("_before", F.lead("_kept").over(W.orderBy(F.desc("_r"))))
@@ -73,14 +79,21 @@ def time_window_table(
 
     The windows are listed in full, whether they occur or not; the last one holds the far end of
     the look-back. ``coverage`` is the first window's share of all (case, anchor) in percent.
+    ``latest`` holds at most one row per case, anchor and dimension.
     """
     n = int(lookback_hours // hours_per_window) + 1
     windows = list(range(n))
     labels = [window_label(i, hours_per_window) for i in windows]
     bucket = floor_bucket(F.col("minutes_before"), hours_per_window * 60)
-    total = latest.select(*map(col, case)).distinct().agg(F.count("*")).scalar()
-    table = pivot_counts(latest, index=dim, dim=bucket, values=windows, labels=labels)
-    return table.withColumn("coverage", percent(col(labels[0]), total))
+    # One row of each case is marked, so the cases are counted in the same pass.
+    nth = W.partitionBy(*map(col, case)).orderBy(col(dim))
+    rows = latest.withColumn("_first", F.row_number().over(nth) == 1)
+    table = rows.groupBy(col(dim)).agg(
+        *[F.count_if(bucket == w).alias(n) for w, n in zip(windows, labels)],
+        F.count_if("_first").alias("_cases"),
+    )
+    total = F.sum("_cases").over(W.partitionBy())
+    return table.withColumn("coverage", percent(col(labels[0]), total)).drop("_cases")
 
 
 def timing_stats(latest: DataFrame, *, dim: str, quartiles: bool = False) -> DataFrame:
