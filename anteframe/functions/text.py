@@ -17,9 +17,6 @@ HEADER = (
 )
 HEAD_LINES = 4
 
-# The first line that holds a header. The search starts at line starts only and takes each line
-# once, so long texts cost one pass.
-HEADER_LINE = f"(?:\\A|(?<=[{BREAKS}]))[^{BREAKS}]*?{HEADER}[^{BREAKS}]*"
 # A line break together with all blank lines after it.
 NEXT_TEXT = f"[{BREAKS}](?:[{BREAKS}{BLANKS}]*[{BREAKS}])?"
 NOT_BLANK = f"[^{BREAKS}{BLANKS}]"
@@ -31,7 +28,10 @@ def report_head(content: Column) -> Column:
     A header line gives number and date. Without one the first four lines that are not blank,
     joined, stand in as ``head``. A missing text gives three nulls.
     """
-    header = F.nullif(F.regexp_extract(content, HEADER_LINE, 0), F.lit(""))
+    # The line of the first header: what precedes the header since the last break, and the rest.
+    before = F.element_at(F.split(F.get(F.split(content, HEADER, 2), F.lit(0)), f"[{BREAKS}]"), -1)
+    rest = F.regexp_extract(content, f"{HEADER}[^{BREAKS}]*", 0)
+    header = F.when(content.rlike(HEADER), F.concat(before, rest))
     without_rules = F.regexp_replace(header, f"{BLANK}+-+{BLANK}*", " ")
     parts = F.split(F.regexp_replace(without_rules, f"^{BLANK}+|{BLANK}+$", ""), " ")
     # Only the first piece can be blank; what follows the pieces looked at stays unsplit.

@@ -26,8 +26,9 @@ def pivot_values(
     aggregation with a map-side part, no second shuffle per pivot column.
     """
     agg = {"one": F.max, "mean": F.avg}[how]
+    by, cell = col(dim), col(value)
     return df.groupBy(*map(col, names(index))).agg(
-        *[agg(F.when(col(dim) == v, col(value))).alias(str(v)) for v in values]
+        *[agg(F.when(by == v, cell)).alias(str(v)) for v in values]
     )
 
 

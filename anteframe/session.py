@@ -14,6 +14,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "128m",
+    # Spares a Python stack trace per column expression; wide tables have many of them.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
