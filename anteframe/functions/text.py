@@ -29,17 +29,24 @@ def report_head(content: Column) -> Column:
     joined, stand in as ``head``. A missing text gives three nulls.
     """
     # The line of the first header: what precedes the header since the last break, and the rest.
-    before = F.element_at(F.split(F.get(F.split(content, HEADER, 2), F.lit(0)), f"[{BREAKS}]"), -1)
+    before = F.regexp_replace(F.regexp_replace(content, f"{HEADER}[\\s\\S]*", ""), f"[{BREAKS}]", "\n")
     rest = F.regexp_extract(content, f"{HEADER}[^{BREAKS}]*", 0)
-    header = F.when(content.rlike(HEADER), F.concat(before, rest))
+    line = F.concat(F.substring_index(before, "\n", -1), rest)
+    header = F.when(content.rlike(HEADER), line)
     without_rules = F.regexp_replace(header, f"{BLANK}+-+{BLANK}*", " ")
     parts = F.split(F.regexp_replace(without_rules, f"^{BLANK}+|{BLANK}+$", ""), " ")
-    # Only the first piece can be blank; what follows the pieces looked at stays unsplit.
+    # Only the first piece and the end of the text can be blank. What follows the pieces looked at
+    # stays unsplit, so a long text is not taken apart for its head.
     looked_at = HEAD_LINES + 1
-    pieces = F.slice(F.split(content, NEXT_TEXT, looked_at + 1), 1, looked_at)
-    lines = F.slice(F.filter(pieces, lambda x: x.rlike(NOT_BLANK)), 1, HEAD_LINES)
-    return F.struct(
-        F.when(header.isNull(), F.array_join(lines, "")).alias("head"),
-        F.element_at(parts, -1).alias("number"),
-        F.get(parts, F.lit(0)).alias("date"),
+    top = F.slice(F.split(content, NEXT_TEXT, looked_at + 1), 1, looked_at)
+    lines = F.slice(F.filter(top, lambda x: x.rlike(NOT_BLANK)), 1, HEAD_LINES)
+    # Bound as a lambda argument, the parts are worked out once for all three fields.
+    found = F.transform(
+        F.array(parts),
+        lambda p: F.struct(
+            F.when(p.isNull(), F.array_join(lines, "")).alias("head"),
+            F.element_at(p, -1).alias("number"),
+            F.get(p, F.lit(0)).alias("date"),
+        ),
     )
+    return F.get(found, F.lit(0))
