@@ -100,7 +100,7 @@ def count_matrix(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT l_returnflag, year(coalesce(shipped, l_shipdate - INTERVAL 30 DAY)) AS year, count(*) AS n
+SELECT l_returnflag, CAST(year(coalesce(shipped, l_shipdate - INTERVAL 30 DAY)) AS INTEGER) AS year, count(*) AS n
 FROM (SELECT l_returnflag, l_shipdate, CASE WHEN l_linestatus = 'F' THEN l_shipdate END AS shipped FROM lineitem)
 GROUP BY ALL""")
 def counts_by_year(t: Tables) -> DataFrame:
