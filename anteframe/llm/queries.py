@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, minhash, quality
+from . import decontaminate, langid, minhash, quality, toxicity
 from ._sample import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,10 @@ i AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item,
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN i USING (doc_id)"""
+
+
+@query
+def op8_toxicity_trees(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity.fit(docs, table(spark, folder, "labels"))
+    return toxicity.scored(docs, model, threshold=0.5).withColumn("held_out", held_out())
