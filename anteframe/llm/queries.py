@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, minhash, quality, toxicity
+from . import decontaminate, langid, minhash, packing, quality, toxicity
 from ._sample import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,8 @@ def op8_toxicity_trees(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = toxicity.fit(docs, table(spark, folder, "labels"))
     return toxicity.scored(docs, model, threshold=0.5).withColumn("held_out", held_out())
+
+
+@query
+def op5_bin_completion(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(table(spark, folder, "documents"))
