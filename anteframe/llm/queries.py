@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, minhash, packing, quality, toxicity
+from . import decontaminate, langid, minhash, packing, quality, token_output, toxicity
 from ._sample import held_out
+from ._store import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -73,3 +75,10 @@ def op8_toxicity_trees(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op5_bin_completion(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"))
+
+
+@query
+def op10_training_order(spark: SparkSession, folder: str) -> DataFrame:
+    found = token_output.shards(table(spark, folder, "documents"))
+    path = f"{shared_folder(spark)}/shards-{uuid.uuid4().hex}"
+    return token_output.records(token_output.write(found, path))
