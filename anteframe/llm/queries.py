@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, minhash, packing, quality, token_output, toxicity
+from . import decontaminate, embedding_dedup, langid, minhash, packing, quality, token_output, toxicity
 from ._sample import held_out
 from ._store import shared_folder
 
@@ -82,3 +82,8 @@ def op10_training_order(spark: SparkSession, folder: str) -> DataFrame:
     found = token_output.shards(table(spark, folder, "documents"))
     path = f"{shared_folder(spark)}/shards-{uuid.uuid4().hex}"
     return token_output.records(token_output.write(found, path))
+
+
+@query
+def op9_pca_tiles(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, folder, "embeddings"))
