@@ -13,7 +13,9 @@ Postings are read in two passes, so that a large group of near copies never beco
    with others. That links nearly all of a group by as many comparisons as it has members.
 2. Postings whose classes are one component by now are skipped whole. The others are compared in
    blocks of bounded size: only pairs of different components, only at the first posting that both
-   share, and only if a second, wider signature leaves the threshold within reach.
+   share, and only if a second, wider signature leaves the threshold within reach. What is left
+   is compared by the whole set of hashes cut to 32 bits (sets up to ``FEW``) or by a third, still
+   wider signature, so that of pairs short of the threshold next to none leave the task.
 
 Candidates of both passes are confirmed on the full sets.
 
@@ -39,12 +41,17 @@ MATCHES = 25
 #: The second signature: one byte for each coordinate, and the common ones that are asked for.
 WIDE = 192
 WIDE_MATCHES = 128
+#: Sets up to ``FEW`` go along whole; sets from ``MANY`` on, which is lower so that any two sets of
+#: similar size have one of the two, by a third signature.
+FEW, MANY = 320, 256
+FINE = 1024
+FINE_MATCHES = 755
 #: Classes of a posting that are compared as one block.
 BLOCK = 512
 
 _RNG = np.random.default_rng(8_0_8)
-_A = _RNG.integers(1 << 31, size=(2, WIDE), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-_B = _RNG.integers(1 << 32, size=(2, WIDE), dtype=np.uint32)
+_A = _RNG.integers(1 << 31, size=(3, FINE), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_B = _RNG.integers(1 << 32, size=(3, FINE), dtype=np.uint32)
 
 
 def shingle_sets(batch: pa.RecordBatch, text: str, words: int) -> Iterator[np.ndarray]:
@@ -99,19 +106,27 @@ def signatures(docs: DataFrame, doc_id: str, text: str, words: int) -> DataFrame
 
 
 def full_sets(docs: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
-    """id, size, the whole set and the wide signature."""
+    """id, size, the whole set, the wide signature, and what settles most of the rest."""
+
+    def bytes_of(s: np.ndarray, family: int, n: int) -> bytes:
+        return (minima(s, family, n) >> np.uint32(24)).astype(np.uint8).tobytes()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
             sets = list(shingle_sets(batch, "text", words))
-            wide = [(minima(s, 1, WIDE) >> np.uint32(24)).astype(np.uint8).tobytes() for s in sets]
+            columns = [
+                [s.tobytes() for s in sets],
+                [bytes_of(s, 1, WIDE) for s in sets],
+                [np.unique((s >> np.uint64(32)).astype("<u4")).tobytes() if len(s) <= FEW else b"" for s in sets],
+                [bytes_of(s, 2, FINE) if len(s) >= MANY else b"" for s in sets],
+            ]
             yield pa.record_batch(
-                [batch.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(wide, pa.binary())],
-                ["id", "n", "hashes", "wide"],
-            )
+                [batch.column("id"), pa.array([len(s) for s in sets], pa.int64()), *(pa.array(c, pa.binary()) for c in columns)],
+                ["id", "n", "hashes", "wide", "few", "fine"],
+            )
 
     return docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(
-        run, "id long, n long, hashes binary, wide binary"
+        run, "id long, n long, hashes binary, wide binary, few binary, fine binary"
     )
 
 
@@ -142,6 +157,20 @@ def compared(postings: DataFrame, percent: int) -> DataFrame:
         block = group.column("block").to_numpy()
         wide = np.frombuffer(b"".join(group.column("wide").to_pylist()), np.uint8).reshape(len(ids), WIDE)
         lists = group.column("prefix").to_pylist()
+        few = [np.frombuffer(x, "<u4") for x in group.column("few").to_pylist()]
+        fine = [np.frombuffer(x, np.uint8) for x in group.column("fine").to_pylist()]
+
+        def within_reach(x: int, others: list[int]) -> Iterator[int]:
+            whole = [y for y in others if len(few[x]) and len(few[y])]
+            if whole:
+                both = np.concatenate([few[y] for y in whole])
+                at = np.minimum(np.searchsorted(few[x], both), len(few[x]) - 1)
+                common = np.add.reduceat(few[x][at] == both, np.cumsum([0, *(len(few[y]) for y in whole[:-1])]), dtype=np.int64)
+                yield from (y for y, c in zip(whole, common.tolist(), strict=True) if 100 * c >= percent * (n[x] + n[y] - c))
+            for y in others:
+                if not (len(few[x]) and len(few[y])) and (fine[x] == fine[y]).sum() >= FINE_MATCHES:
+                    yield y
+
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
         found_a, found_b = [], []
         for x in left.tolist():
@@ -152,10 +181,9 @@ def compared(postings: DataFrame, percent: int) -> DataFrame:
                 continue
             fit = fit[(wide[fit] == wide[x]).sum(axis=1) >= WIDE_MATCHES]
             before = set(lists[x][: lists[x].index(token)])
-            for y in fit.tolist():
-                if before.isdisjoint(lists[y][: lists[y].index(token)]):
-                    found_a.append(min(ids[x], ids[y]))
-                    found_b.append(max(ids[x], ids[y]))
+            for y in within_reach(x, [y for y in fit.tolist() if before.isdisjoint(lists[y][: lists[y].index(token)])]):
+                found_a.append(min(ids[x], ids[y]))
+                found_b.append(max(ids[x], ids[y]))
         return pa.table({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
 
     last = F.floor((F.col("size") - 1) / BLOCK)
@@ -218,7 +246,7 @@ def near_duplicates(
     open_ = prefixes.select("id", "token", "prefix").join(found, "id", "left").select("id", "token", "prefix", label)
     several = open_.groupBy("token").agg(F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high"))
     several = several.where("low != high").select("token", "size")
-    candidates = compared(open_.join(several, "token").join(sets.select("id", "n", "wide"), "id"), percent)
+    candidates = compared(open_.join(several, "token").join(sets.select("id", "n", "wide", "few", "fine"), "id"), percent)
     more = stored(confirmed(candidates, sets, percent))
     if more.limit(1).count():
         found = components(links.unionByName(more))
