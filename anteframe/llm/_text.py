@@ -83,6 +83,14 @@ def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D))
 
 
+def window_hash(data: np.ndarray, size: int) -> np.ndarray:
+    """64-bit hash of each ``size`` consecutive bytes."""
+    up, down = _powers(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * up[: len(data)], out=sums[1:])
+    return mix((sums[size:] - sums[:-size]) * down[: len(data) - size + 1])
+
+
 class Words:
     """The words of a run of texts: spans of bytes, a hash each, and where each text's words begin."""
 

@@ -212,6 +212,28 @@ def merged(counted: DataFrame, found: DataFrame) -> DataFrame:
     )
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all columns, in which no window of the benchmark occurs."""
+    ready(docs.sparkSession)
+
+    def without(items: Items) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in pieces(batches, text):
+                words = Words(*text_bytes(batch.column(text)), NOT_ALNUM)
+                hit = np.zeros(batch.num_rows, bool)
+                hit[np.searchsorted(words.off, items.hits(words)[0], "right") - 1] = True
+                yield batch.filter(pa.array(~hit))
+
+        return run
+
+    each = blocks(benchmark, item_id, item_text)
+    for i, items in enumerate(each()):
+        docs = docs.mapInArrow(without(items), docs.schema)
+        # A task holds one block at a time.
+        docs = stored(docs) if i + 1 < each.n else docs
+    return docs
+
+
 def digest(found: DataFrame) -> DataFrame:
     """Counts and a checksum for each document."""
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + x["stop"] - x["start"])

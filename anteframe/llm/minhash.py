@@ -255,3 +255,19 @@ def near_duplicates(
     linked = rows.drop("tokens").join(of_class, ["sum1", "sum2", "n_shingles"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return linked.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, with all columns, but one document of each component: the least doc_id.
+
+    Of rows that repeat a doc_id one stays. Rows without doc_id, and texts without words, stay.
+    """
+    key = F.col(doc_id).cast("long")
+    found = near_duplicates(docs, doc_id, text, words, percent)
+    gone = stored(found.where("NOT kept").select(F.col("doc_id").alias(doc_id)).distinct())
+    again = stored(docs.where(key.isNotNull()).groupBy(key.alias(doc_id)).agg(F.count("*").alias("n")).where("n > 1"))
+    docs = of_ids(docs, gone, doc_id, "left_anti").select(docs.columns)
+    if again.limit(1).count():
+        once = of_ids(docs, again, doc_id, "left_semi").dropDuplicates([doc_id])
+        docs = of_ids(docs, again, doc_id, "left_anti").unionByName(once).select(docs.columns)
+    return docs

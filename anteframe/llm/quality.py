@@ -151,3 +151,14 @@ def scored(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "t
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     out = rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double")
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def accepted(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs``, with all columns, whose text scores at least ``threshold``."""
+    ready(docs.sparkSession)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, text):
+            yield batch.filter(pa.array(model.score(term_counts(*text_bytes(batch.column(text)))) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)

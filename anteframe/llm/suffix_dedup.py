@@ -20,7 +20,7 @@ sorted and merged in a second round by the same steps. So no group has to fit on
 from __future__ import annotations
 
 import bisect
-import hashlib
+import uuid
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 
@@ -29,9 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._store import of_ids, ready, stored
-from ._text import mix, pieces, text_bytes
-from ._text import _BYTE, _powers  # noqa: PLC2701
+from ._store import BROADCAST_IDS, of_ids, ready, stored
+from ._text import mix, pieces, text_bytes, window_hash
 
 SPAN = 100
 GRAM = 24
@@ -58,10 +57,7 @@ def anchors(data: np.ndarray, off: np.ndarray, span: int) -> tuple[np.ndarray, .
     none = np.zeros(0, np.int64)
     if len(data) < span:
         return none, none, none, none, none.astype(np.uint64)
-    up, down = _powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * up[: len(data)], out=sums[1:])
-    grams = mix((sums[GRAM:] - sums[:-GRAM]) * down[: len(data) - GRAM + 1])
+    grams = window_hash(data, GRAM)
     # Place in the low bits: of equal hashes the first one counts.
     packed = (grams >> np.uint64(24) << np.uint64(24)) | np.arange(len(grams), dtype=np.uint64)
     place = (least_in_window(packed, span - GRAM + 1) & np.uint64((1 << 24) - 1)).astype(np.int64)
@@ -448,6 +444,35 @@ def kept_bytes(raw: bytes, spans: Iterable[dict]) -> tuple[bytes, int]:
     return b"".join([*out, raw[at:]]), n
 
 
+def cut_rows(docs: DataFrame, spans: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """All rows and columns of ``docs``, the text as a struct: kept (bytes), n_bytes, n_removed, n_spans."""
+    names = docs.columns
+    column = f"spans_{uuid.uuid4().hex}"
+    schema = ", ".join(f"`{f.name}` {RESULT if f.name == text else f.dataType.simpleString()}" for f in docs.schema)
+    result = pa.struct([("kept", pa.binary()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64())])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, text):
+            cells = []
+            for t, s in zip(batch.column(text).to_pylist(), batch.column(column).to_pylist(), strict=True):
+                raw = (t or "").encode()
+                kept, n = kept_bytes(raw, s or [])
+                cells.append({"kept": kept, "n_bytes": len(raw), "n_removed": len(raw) - len(kept), "n_spans": n})
+            out = batch.select(names)
+            yield out.set_column(out.schema.get_field_index(text), text, pa.array(cells, result))
+
+    ids = spans.select(F.col("doc_id").alias(column), F.col("spans").alias(f"{column}_of"))
+    few = ids.count() <= BROADCAST_IDS
+    key = ids.select(column)
+    at = F.col(doc_id).cast("long") == F.col(column)
+    met = docs.join(F.broadcast(key) if few else key, at, "left_semi").join(ids, at).drop(column).withColumnRenamed(f"{column}_of", column)
+    rest = docs.join(F.broadcast(key) if few else key, at, "left_anti").withColumn(column, F.lit(None).cast(SPANS))
+    return met.unionByName(rest).mapInArrow(run, schema)
+
+
+RESULT = "struct<kept:binary,n_bytes:bigint,n_removed:bigint,n_spans:bigint>"
+
+
 def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int = SPAN) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept (the bytes that are left).
 
@@ -457,29 +482,27 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sp
     without doc_id is kept whole and makes nothing a repeat. A doc_id names one text. An empty table
     gives no rows. Other columns are not looked at.
     """
-    spans = stored(repeats(docs, doc_id, text, span))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return cut_rows(rows, stored(repeats(docs, doc_id, text, span)), "doc_id", "text").select("doc_id", "text.n_bytes", "text.n_removed", "text.n_spans", "text.kept")
+
+
+def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int = SPAN) -> DataFrame:
+    """``docs`` with their texts cut as by ``deduplicated``; characters cut in two go whole.
+
+    All rows and columns stay, also of texts that are empty by then; a null text becomes empty.
+    """
+    cut = cut_rows(docs, stored(repeats(docs, doc_id, text, span)), doc_id, text)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text"):
-            cells: list[list] = [[] for _ in range(4)]
-            for t, s in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
-                raw = (t or "").encode()
-                kept, n = kept_bytes(raw, s or [])
-                for c, v in zip(cells, (len(raw), len(raw) - len(kept), n, kept), strict=True):
-                    c.append(v)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.record_batch([batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(cells, kinds, strict=True))], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+        for batch in batches:
+            at = batch.schema.get_field_index(text)
+            kept = batch.column(at).field("kept").to_pylist()
+            yield batch.set_column(at, text, pa.array([k.decode(errors="ignore") for k in kept], pa.string()))
 
-    cut = of_ids(rows, spans, "doc_id", "left_semi").join(spans, "doc_id")
-    whole = of_ids(rows, spans, "doc_id", "left_anti").withColumn("spans", F.lit(None).cast(SPANS))
-    return cut.unionByName(whole).mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return cut.mapInArrow(run, docs.schema)
 
 
 def digest(found_: DataFrame) -> DataFrame:
     """Counts and a checksum of what is left for each document."""
     return found_.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
-
-def sha256(raw: bytes) -> str:
-    return hashlib.sha256(raw).hexdigest()
