@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, embedding_dedup, langid, minhash, packing, quality, suffix_dedup, token_output, toxicity
+from . import decontaminate, embedding_dedup, langid, lm, minhash, packing, quality, suffix_dedup, token_output, toxicity
 from ._sample import held_out
 from ._store import shared_folder
 
@@ -92,3 +92,8 @@ def op9_pca_tiles(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_suffix_runs(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.digest(suffix_dedup.deduplicated(table(spark, folder, "documents")))
+
+
+@query
+def op7_recurrent_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.scored(table(spark, folder, "documents"))
