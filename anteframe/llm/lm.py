@@ -35,7 +35,8 @@ POPULAR = 65_536
 EMBEDDING, STATE = 24, 32
 #: Of so many training documents one is trained on; streams and steps of a training window.
 SHARE, STREAMS, WINDOW = 8, 64, 20
-RATE, ROUNDS, MERGED = 4e-3, 2, 32
+#: Slopes far below ``CALM`` hardly move a weight: few tokens say little about a rare word.
+RATE, ROUNDS, MERGED, CALM = 4e-3, 2, 32, 1e-4
 #: Tokens scored together, at least; a longer document is whole.
 TOGETHER = 600_000
 
@@ -276,7 +277,7 @@ def train(flat: np.ndarray, numbers: np.ndarray) -> np.ndarray:
             grad_flat /= norm
         m += 0.1 * (grad_flat - m)
         v += 0.01 * (grad_flat**2 - v)
-        flat -= RATE * (m / (1 - 0.9**n)) / (np.sqrt(v / (1 - 0.99**n)) + 1e-6)
+        flat -= RATE * (m / (1 - 0.9**n)) / (np.sqrt(v / (1 - 0.99**n)) + CALM)
     return flat
 
 
