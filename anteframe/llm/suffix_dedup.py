@@ -397,7 +397,8 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", span: i
     often = counts.groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1").select("gram")
     held = stored(counts.select("gram", "doc_id").join(often, "gram").groupBy("doc_id").agg(F.collect_set("gram").alias("grams")))
     n = held.agg(F.coalesce(F.sum(F.size("grams")), F.lit(0)).alias("n")).first().n
-    suspects = of_ids(rows, held, "doc_id", "left_semi").join(held, "doc_id")
+    # Read twice, for the splitters and for the runs.
+    suspects = stored(of_ids(rows, held, "doc_id", "left_semi").join(held, "doc_id"))
     ranges = max(1, min(RANGES, n // RANGE))
     one_in = max(1, n // (64 * ranges))
 
