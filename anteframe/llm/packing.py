@@ -20,7 +20,7 @@ from ._store import stored
 from ._tokens import LENGTH, token_pieces
 
 #: Fillings tried at a branch, pieces of a filling that are chosen freely, branches tried in all.
-FILLINGS, CHOSEN, BRANCHES = 12, 3, 1500
+FILLINGS, CHOSEN, BRANCHES = 12, 3, 3000
 #: Pieces of one length that are ranked together, at least.
 GROUP = 500
 
@@ -38,6 +38,11 @@ def lower_bound(counts: dict[int, int], size: int) -> int:
         room = sum((size - n) * counts[n] for n in middle)
         small = sum(n * c for n, c in counts.items() if k <= n and 2 * n <= size)
         best = max(best, over + held + max(0, -(-(small - room) // size)))
+    # Pieces just over an even part of a sequence take as much room as the next part that fits.
+    for k in range(1, 33):
+        full = sum(c * n for n, c in counts.items() if (k + 1) * n % size == 0)
+        parts = sum(c * ((k + 1) * n // size) for n, c in counts.items() if (k + 1) * n % size)
+        best = max(best, -(-(full * k + parts * size) // (size * k)))
     return best
 
 
