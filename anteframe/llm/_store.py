@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +39,16 @@ def of_ids(rows: DataFrame, ids: DataFrame, key: str, how: str) -> DataFrame:
     return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, key, how)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """While a table is stored, Python gets so many rows at a time: for very wide rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    yield
+    spark.conf.set(key, before)
+
+
 def ready(spark: SparkSession, rows: int = 1000) -> None:
     """Before Python runs in tasks: workers get this subpackage, and few rows at a time."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text worked on at a time. A longer text is a piece of its own.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(1 << 63, size=256, dtype=np.uint64) | np.uint64(1)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._graph import components
-from ._store import ready, stored
+from ._store import batches_of, ready, stored
 
 LEAD, MIDDLE = 16, 32
 GRID = 2
@@ -184,9 +184,8 @@ def near_vectors(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embeddi
     blob = ("ids", "ns", "raw")
     for side in ("a", "b"):
         pairs = pairs.join(tile.select(F.col("tile").alias(f"{side}_tile"), *[F.col(c).alias(f"{side}_{c}") for c in blob]), f"{side}_tile")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
-    found = stored(pairs.mapInArrow(run, "a long, b long, n long"))
-    ready(spark, 2000)
+    with batches_of(spark, 2):
+        found = stored(pairs.mapInArrow(run, "a long, b long, n long"))
     component = components(found.where("a != b"))
     links = found.groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("links"))
 

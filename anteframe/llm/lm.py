@@ -38,7 +38,7 @@ SHARE, STREAMS, WINDOW = 8, 64, 20
 #: Slopes far below ``CALM`` hardly move a weight: few tokens say little about a rare word.
 RATE, ROUNDS, MERGED, CALM = 4e-3, 2, 32, 1e-4
 #: Tokens scored together, at least; a longer document is whole.
-TOGETHER = 600_000
+TOGETHER = 300_000
 
 END = np.uint64(0xE0F0E0F0E0F0E0F0)
 
@@ -71,9 +71,9 @@ def word_counts(texts: DataFrame) -> DataFrame:
         for batch in pieces(batches, "text"):
             h, e, _ = tokens(batch)
             held.append((h, e, np.ones(len(h), np.int64)))
-            if sum(len(x[0]) for x in held) > 2_000_000:
+            if sum(len(x[0]) for x in held) > 1_000_000:
                 held = [together()]
-                if len(held[0][0]) > 1_000_000:
+                if len(held[0][0]) > 500_000:
                     yield out(*held.pop())
         if held:
             yield out(*together())

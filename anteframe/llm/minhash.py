@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._graph import components
-from ._store import of_ids, ready, stored
+from ._store import batches_of, of_ids, ready, stored
 from ._text import BLANKS, Words, mix, pieces, run_hash, text_bytes
 
 COORDINATES = 48
@@ -48,6 +48,8 @@ FINE = 1024
 FINE_MATCHES = 755
 #: Classes of a posting that are compared as one block.
 BLOCK = 512
+#: Pairs that Python gets at a time, each with two whole sets.
+PAIRS = 64
 
 _RNG = np.random.default_rng(8_0_8)
 _A = _RNG.integers(1 << 31, size=(3, FINE), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -239,7 +241,8 @@ def near_duplicates(
         prefixes.select("id", "token").join(hubs, "token").where("id != hub")
         .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
     )
-    links = stored(confirmed(spokes, sets, percent))
+    with batches_of(docs.sparkSession, PAIRS):
+        links = stored(confirmed(spokes, sets, percent))
     found = components(links)
 
     label = F.coalesce("component_id", "id").alias("label")
@@ -247,7 +250,8 @@ def near_duplicates(
     several = open_.groupBy("token").agg(F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high"))
     several = several.where("low != high").select("token", "size")
     candidates = compared(open_.join(several, "token").join(sets.select("id", "n", "wide", "few", "fine"), "id"), percent)
-    more = stored(confirmed(candidates, sets, percent))
+    with batches_of(docs.sparkSession, PAIRS):
+        more = stored(confirmed(candidates, sets, percent))
     if more.limit(1).count():
         found = components(links.unionByName(more))
 
