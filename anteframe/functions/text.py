@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Character classes (Unicode line breaks, the other blanks, digits) and the header
-# line, e.g. "13.08.2015 ------ RAD -----  Arztbrief  -----  79572/15  ----------------------".
+# line, e.g. "01.02.2003 -- ABC --  Befund  --  4/05  --".
 BREAKS = r"\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}"
 BLANKS = r"\t\x1f \x{a0}\x{1680}\x{2000}-\x{200a}\x{202f}\x{205f}\x{3000}"
 BLANK = f"[{BLANKS}]"

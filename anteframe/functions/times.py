@@ -6,9 +6,20 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def offset_timestamp(text: Column, local_tz: str | None = None) -> Column:
-    """ISO time with a ``+0100``, ``+01:00`` or ``Z`` offset as naive UTC (or naive local) time."""
-    utc = F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ss[XXX][XX]"))
+# A time without an offset is ambiguous and does not fit.
+OFFSET_TIME = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|[+-]\d{2}:?\d{2})$"
+
+
+def offset_timestamp(text: Column, local_tz: str | None = None, strict: bool = True) -> Column:
+    """ISO time with a ``+0100``, ``+01:00`` or ``Z`` offset as naive UTC (or naive local) time.
+
+    Other text raises; with ``strict=False`` it gives null. Null stays null.
+    """
+    parsed = F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX][XX]"))
+    utc = F.when(text.rlike(OFFSET_TIME), parsed)
+    if strict:
+        wrong = F.raise_error(F.concat(F.lit("not a time with an offset: "), text)).cast("timestamp")
+        utc = F.when(text.isNotNull() & utc.isNull(), wrong).otherwise(utc)
     return F.from_utc_timestamp(utc, local_tz) if local_tz else utc
 
 

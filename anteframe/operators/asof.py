@@ -52,12 +52,18 @@ def lookback_join(
 
 
 def keep_known_keys(
-    facts: DataFrame, anchors: DataFrame, *, key: str | Sequence[str], spread: int = 8
+    facts: DataFrame,
+    anchors: DataFrame,
+    *,
+    key: str | Sequence[str],
+    spread: int = 8,
+    by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Facts whose case occurs among the anchors.
 
-    The few distinct cases are repeated ``spread`` times, so a hot case is met in several tasks.
-    Spark broadcasts them when they are small enough.
+    The few distinct cases are repeated ``spread`` times, so a hot case is met in several tasks;
+    the columns ``by`` (default: all) say in which. Spark broadcasts them when they are small
+    enough.
     """
     keys = names(key)
     known = (
@@ -65,7 +71,7 @@ def keep_known_keys(
         .distinct()
         .withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
     )
-    part = F.pmod(F.xxhash64(*map(col, facts.columns)), F.lit(spread)).cast("int")
+    part = F.pmod(F.xxhash64(*map(col, by or facts.columns)), F.lit(spread)).cast("int")
     return facts.withColumn("_part", part).join(known, [*keys, "_part"], "left_semi").drop("_part")
 
 

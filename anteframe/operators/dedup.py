@@ -38,6 +38,14 @@ def uniqueness_violations(df: DataFrame, keys: Sequence[str], name: str = "size"
     return df.groupBy(*map(col, keys)).agg(F.count("*").alias(name)).where(col(name) != 1)
 
 
+def unique_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys of ``df``; a query that meets one of several rows fails, no query runs before."""
+    sizes = df.groupBy(*map(col, keys)).agg(F.count("*").alias("_size"))
+    shown = F.concat_ws(", ", *[F.coalesce(col(k).cast("string"), F.lit("null")) for k in keys])
+    wrong = F.raise_error(F.concat(F.lit(f"keys {list(keys)} are not unique: "), shown))
+    return sizes.where(F.when(F.col("_size") > 1, wrong.cast("boolean")).otherwise(True)).drop("_size")
+
+
 def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``df`` itself, or an error naming some of the keys that occur more than once."""
     found = uniqueness_violations(df, keys).limit(5).collect()

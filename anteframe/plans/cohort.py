@@ -9,12 +9,13 @@ from .. import vocab
 from ..columns import col
 from ..functions import codes, text, times
 from ..operators.aggregate import single_or_null
-from ..operators.dedup import assert_unique, keep_singletons, latest_version
+from ..operators.dedup import keep_singletons, latest_version, unique_keys
 from ..operators.history import history_flags
 from ..operators.joins import null_safe_join
 from ..operators.prefix import longest_prefix_group
 from ..operators.sets import union_all
 
+TEXT_SUM = "_text_sum"
 CASE, DAY, TIME, AT = "Fallnummer", "prozedur_datum", "prozedur_zeit", "prozedur_datetime"
 
 
@@ -109,11 +110,12 @@ def unusable_reports(reports: DataFrame) -> DataFrame:
 
 
 def newest_reports(reports: DataFrame) -> DataFrame:
-    """One version per report: the newest, then the highest document number."""
+    """One version per report: the newest, then the highest document number, then any one text."""
+    text_sum = col(TEXT_SUM) if TEXT_SUM in reports.columns else F.sha2(col("CONTENT"), 256)
     return latest_version(
         reports,
         [CASE, DAY, "befund_nummer", "CONTENT_head"],
-        [F.desc_nulls_last("befund_datum"), F.desc_nulls_last("DOKNR"), F.desc_nulls_last("CONTENT")],
+        [F.desc_nulls_last("befund_datum"), F.desc_nulls_last("DOKNR"), text_sum.desc_nulls_last()],
     )
 
 
@@ -122,7 +124,16 @@ def reports_alone_on_their_day(reports: DataFrame) -> DataFrame:
 
 
 def usable_reports(reports: DataFrame) -> DataFrame:
-    return reports_alone_on_their_day(newest_reports(parsed_reports(reports)))
+    """The newest version of each report, if no other one is of its case and day.
+
+    Versions and days are settled without the texts; those are fetched for what is left, and only
+    if a caller looks at them. Of exact copies one stays.
+    """
+    rows = parsed_reports(reports).withColumn(TEXT_SUM, F.sha2(col("CONTENT"), 256))
+    identity = [CASE, DAY, "befund_nummer", "CONTENT_head", "befund_datum", "DOKNR", TEXT_SUM]
+    kept = reports_alone_on_their_day(newest_reports(rows.select(*map(col, identity))))
+    found = null_safe_join(rows, kept, on=identity, how="left_semi")
+    return found.dropDuplicates([CASE, DAY]).drop(TEXT_SUM)
 
 
 def reports_with_procedure(
@@ -130,11 +141,12 @@ def reports_with_procedure(
 ) -> DataFrame:
     """Reports with the one procedure time of their case and day.
 
-    ``check`` runs a job that raises if a case and day is still not unique.
+    With ``check`` the query fails if there are several reports for one of them.
     """
     timed = single_or_null(procs, [CASE, DAY], TIME, "num_start_times")
-    joined = null_safe_join(reports, timed, on=[CASE, DAY])
-    return assert_unique(joined, [CASE, DAY]) if check else joined
+    if check:
+        timed = null_safe_join(unique_keys(reports, [CASE, DAY]), timed, on=[CASE, DAY])
+    return null_safe_join(reports, timed, on=[CASE, DAY])
 
 
 def procedures_for_labelling(

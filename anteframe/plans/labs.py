@@ -39,14 +39,19 @@ def complete_labs(
     blood_gas: DataFrame,
     potassium: DataFrame,
     glucose: DataFrame,
+    distinct: bool = True,
 ) -> DataFrame:
-    """All five sources as one table of distinct complete rows."""
+    """All five sources as one table of distinct complete rows.
+
+    Without ``distinct`` copies stay: for callers that remove them later anyway.
+    """
     gas = blood_gas.withColumn(SAMPLED, F.coalesce(col(SAMPLED), col(RESULTED))).where(
         codes.differs(col(LAB_ID), vocab.SAMPLE_KIND_ID)
     )
     parts = [main, late, gas, from_device_columns(potassium), from_device_columns(glucose)]
     rows = union_all(*[p.select(*map(col, LAB_COLUMNS)) for p in parts]).drop(RESULTED)
-    return rows.na.drop("any").distinct()
+    rows = rows.na.drop("any")
+    return rows.distinct() if distinct else rows
 
 
 def relevant_labs(labs: DataFrame, variant: str = "complete") -> DataFrame:
@@ -58,14 +63,26 @@ def relevant_labs(labs: DataFrame, variant: str = "complete") -> DataFrame:
     return rows.where(all_present([NUMBER, CASE, SAMPLED]))
 
 
-def harmonised_labs(labs: DataFrame, local_tz: str | None = None) -> DataFrame:
+def unusable_times(labs: DataFrame) -> DataFrame:
+    """Rows, and how many have a sampling time that is no ISO time with an offset."""
+    fits = times.offset_timestamp(col(SAMPLED), strict=False).isNotNull()
+    return labs.agg(
+        F.count("*").alias("n_rows"),
+        F.count_if(col(SAMPLED).isNotNull() & ~fits).alias("n_unusable"),
+    )
+
+
+def harmonised_labs(
+    labs: DataFrame, local_tz: str | None = None, strict: bool = True
+) -> DataFrame:
     """Effective sampling time and common parameter id; distinct rows.
 
     Times are naive UTC; with ``local_tz`` they are local, as procedure times are, and a clock
-    time in an id is then put on the local day.
+    time in an id is then put on the local day. A wrong time raises; with ``strict=False`` it is
+    null, and ``unusable_times`` counts such rows.
     """
     return (
-        labs.withColumn(SAMPLED, times.offset_timestamp(col(SAMPLED), local_tz))
+        labs.withColumn(SAMPLED, times.offset_timestamp(col(SAMPLED), local_tz, strict))
         .withColumn(
             EFFECTIVE_AT,
             times.embedded_clock_time(col(LAB_ID), col(SAMPLED), vocab.CLOCK_ID_PATTERN),
@@ -78,7 +95,8 @@ def harmonised_labs(labs: DataFrame, local_tz: str | None = None) -> DataFrame:
 def labs_from_sources(
     sources: dict[str, DataFrame], variant: str = "complete", local_tz: str | None = None
 ) -> DataFrame:
-    return harmonised_labs(relevant_labs(complete_labs(**sources), variant), local_tz)
+    rows = complete_labs(**sources, distinct=False)
+    return harmonised_labs(relevant_labs(rows, variant), local_tz)
 
 
 def distinct_lab_ids(labs: DataFrame) -> DataFrame:
@@ -94,7 +112,8 @@ def latest_labs(
     """The newest value per procedure and parameter in the look-back window."""
     return latest_per_dimension(
         procedures,
-        keep_known_keys(labs, procedures, key=CASE),
+        # By the time alone, so that the filter can move below everything that is derived.
+        keep_known_keys(labs, procedures, key=CASE, by=[SAMPLED]),
         key=CASE,
         anchor_ts=ANCHOR,
         fact_ts=EFFECTIVE_AT,
@@ -115,26 +134,55 @@ def _check_variant(variant: str) -> None:
         raise ValueError(f"unknown variant {variant!r}")
 
 
-def _ids(variant: str, ids: Sequence[str] | None) -> list[str]:
+# Stands for every parameter without a column of its own.
+UNLISTED = "\u0000unlisted"
+
+
+def _ids(labs: DataFrame, variant: str, ids: Sequence[str] | str | None) -> list[str]:
     _check_variant(variant)
+    if isinstance(ids, str):
+        if ids != "all":
+            raise ValueError(f"ids is a list or 'all', not {ids!r}")
+        found = distinct_lab_ids(labs).where(col(EFFECTIVE_ID).isNotNull())
+        return sorted(r[0] for r in found.collect())
     reduced = variant == "reduced"
     return list(ids or (vocab.LAB_FEATURES_REDUCED if reduced else vocab.LAB_FEATURES))
 
 
+def _of_variant(labs: DataFrame, variant: str) -> DataFrame:
+    """The reduced variant goes by the ids as they come, before synonyms are merged."""
+    return labs.where(col(LAB_ID).isin(*vocab.LAB_IDS_REDUCED)) if variant == "reduced" else labs
+
+
+def unlisted_values(labs: DataFrame, ids: Sequence[str] = tuple(vocab.LAB_FEATURES)) -> DataFrame:
+    """Parameters without a feature column, with their number of values."""
+    return labs.where(~col(EFFECTIVE_ID).isin(*ids)).groupBy(col(EFFECTIVE_ID)).agg(F.count("*").alias("n"))
+
+
 def lab_features(
     procedures: DataFrame,
     labs: DataFrame,
     hours: float = vocab.LOOKBACK_HOURS,
     variant: str = "complete",
-    ids: Sequence[str] | None = None,
+    ids: Sequence[str] | str | None = None,
 ) -> DataFrame:
-    """One row per procedure with at least one value, a column per parameter id.
+    """One row per procedure with at least one value of any parameter, a column per parameter id.
 
-    ``reduced`` keeps only procedures with every value.
+    ``ids`` sets the columns, not the rows; with "all" they are those that occur, by one more pass
+    (``unlisted_values`` counts what has no column). ``reduced`` looks only at the ids of the short
+    list, as they come, and keeps only procedures with every value.
     """
-    wanted = _ids(variant, ids)
+    labs = _of_variant(labs, variant)
+    wanted = _ids(labs, variant, ids)
+    listed = F.when(col(EFFECTIVE_ID).isin(*wanted), col(EFFECTIVE_ID))
+    other = F.when(col(EFFECTIVE_ID).isNotNull(), F.lit(UNLISTED))
     wide = pivot_values(
-        latest_labs(procedures, labs, hours, wanted),
+        latest_labs(
+            procedures,
+            labs.withColumn(EFFECTIVE_ID, F.coalesce(listed, other)),
+            hours,
+            [*wanted, UNLISTED],
+        ),
         index=[CASE, ANCHOR],
         dim=EFFECTIVE_ID,
         value=NUMBER,
@@ -148,7 +196,8 @@ def reduced_completeness(
 ) -> DataFrame:
     """How many procedures with a value have every value of the reduced list."""
     wanted = vocab.LAB_FEATURES_REDUCED
-    return completeness(lab_features(procedures, labs, hours, ids=wanted), wanted)
+    rows = lab_features(procedures, _of_variant(labs, "reduced"), hours, ids=wanted)
+    return completeness(rows, wanted)
 
 
 def procedures_with_lab_features(
@@ -176,8 +225,8 @@ def mean_features_per_case(
 
 
 def with_definitions(labs: DataFrame, definitions: DataFrame | None) -> DataFrame:
-    """Labs of defined parameters with their category; unchanged without definitions."""
-    if definitions is None:
+    """Labs of defined parameters with their category; unchanged if they have it, or without definitions."""
+    if definitions is None or "Kategorie" in labs.columns:
         return labs
     return null_safe_join(labs, definitions, on=[LAB_ID, "LOINC-Code"])
 

@@ -13,7 +13,7 @@ from ..columns import all_present, col
 from ..functions import codes, ranges, times
 from ..functions.numbers import capped, floor_bucket, lenient_decimal, percent, reference_decimal
 from ..functions.times import window_label
-from ..operators.aggregate import group_counts, null_counts, row_loss, value_counts
+from ..operators.aggregate import group_counts, histogram, null_counts, row_loss, value_counts
 from ..operators.features import completeness
 
 
@@ -73,18 +73,21 @@ def time_window_table(
     case: Sequence[str],
     dim: str,
     hours_per_window: int,
-    lookback_hours: int = vocab.LOOKBACK_HOURS,
+    lookback_hours: int,
 ) -> DataFrame:
     """Rows per dimension and time window before the anchor, and the coverage of the first window.
 
-    The windows are listed in full, whether they occur or not; the last one holds the far end of
-    the look-back. ``coverage`` is the first window's share of all (case, anchor) in percent.
+    The windows are listed in full, whether they occur or not, up to ``lookback_hours``; the last
+    one is open and holds all that is further away. A row without a time before the anchor, or
+    with a time after it, raises. ``coverage`` is the first window's share of all (case, anchor) in percent.
     ``latest`` holds at most one row per case, anchor and dimension.
     """
-    n = int(lookback_hours // hours_per_window) + 1
-    windows = list(range(n))
-    labels = [window_label(i, hours_per_window) for i in windows]
-    bucket = floor_bucket(F.col("minutes_before"), hours_per_window * 60)
+    n = int(lookback_hours // hours_per_window)
+    windows = list(range(n + 1))
+    labels = [*(window_label(i, hours_per_window) for i in range(n)), f">={n * hours_per_window}h"]
+    found = floor_bucket(F.col("minutes_before"), hours_per_window * 60)
+    wrong = F.raise_error(F.lit("a row is in no time window")).cast("bigint")
+    bucket = F.least(F.when(found >= 0, found).otherwise(wrong), F.lit(n))
     # One row of each case is marked, so the cases are counted in the same pass.
     nth = W.partitionBy(*map(col, case)).orderBy(col(dim))
     rows = latest.withColumn("_first", F.row_number().over(nth) == 1)
@@ -146,6 +149,25 @@ def delays(df: DataFrame, *, start: str, end: str, cap_minutes: float = 360) ->
     )
 
 
+def blood_gas_delays(gas: DataFrame, cap_minutes: float = 360) -> DataFrame:
+    """Blood gas rows with the delay from sample to result; rows without one of the times are left out."""
+    rows = gas.withColumns(
+        {c: times.offset_timestamp(col(c)) for c in ("Probeneingangsdatum", "Ergebnisdatum")}
+    )
+    found = delays(rows, start="Probeneingangsdatum", end="Ergebnisdatum", cap_minutes=cap_minutes)
+    return found.where(F.col("delay_seconds").isNotNull())
+
+
+def blood_gas_delay_histogram(gas: DataFrame, bins: int = 100) -> DataFrame:
+    return histogram(blood_gas_delays(gas), "delay_minutes_capped", bins)
+
+
+def blood_gas_counts_by_year(gas: DataFrame) -> DataFrame:
+    """Blood gas rows per parameter and year of the sample, or of the result where that is missing."""
+    seen = F.coalesce(col("Probeneingangsdatum"), col("Ergebnisdatum"))
+    return counts_by_year(gas, dim="Parameter-ID primär", ts=times.offset_timestamp(seen))
+
+
 def split_by_flag(df: DataFrame, flag: str) -> tuple[DataFrame, DataFrame]:
     return df.where(col(flag)), df.where(~col(flag))
 

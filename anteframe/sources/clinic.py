@@ -12,6 +12,7 @@ from .delimited import (
     NAMES_ELSEWHERE,
     SEMICOLON,
     Format,
+    bad_lines_of,
     names_from_file,
     read_delimited,
 )
@@ -168,14 +169,24 @@ def read_master(spark: SparkSession, path: str, late_path: str) -> tuple[DataFra
     )
 
 
-def read_reports(spark: SparkSession, folder: str) -> DataFrame:
-    """All report files of a folder; texts hold line breaks, empty cells stay empty texts."""
-    return read_delimited(spark, folder, REPORT, fmt=FREE_TEXT, required=["FALNR", "DOKNR"])
+def read_reports(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """(all reports of a folder, lines with too many cells); texts hold line breaks, empty cells
+    stay empty texts."""
+    return _read_folder(spark, folder, REPORT, ["FALNR", "DOKNR"])
 
 
-def read_labelled(spark: SparkSession, folder: str) -> DataFrame:
-    """All files of labelled procedures; an empty confidence is null."""
+def read_labelled(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """(all labelled procedures of a folder, lines with too many cells); an empty confidence or
+    time is null."""
+    rows, bad = _read_folder(spark, folder, LABELLED, ["Fallnummer", "alter_bei_prozedur"])
+    at = F.to_timestamp(F.nullif(F.trim(col("prozedur_datetime")), F.lit("")))
+    return rows.withColumn("prozedur_datetime", at), bad
+
+
+def _read_folder(
+    spark: SparkSession, folder: str, columns: dict[str, str], required: list[str]
+) -> tuple[DataFrame, DataFrame]:
     rows = read_delimited(
-        spark, folder, LABELLED, fmt=FREE_TEXT, required=["Fallnummer", "alter_bei_prozedur"]
+        spark, folder, columns, fmt=FREE_TEXT, required=required, bad_lines="set_aside"
     )
-    return rows.withColumn("prozedur_datetime", F.to_timestamp(col("prozedur_datetime")))
+    return rows, bad_lines_of(spark, folder, columns, fmt=FREE_TEXT)

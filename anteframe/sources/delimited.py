@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..columns import col
+from ..operators.sets import union_all
 
 # The cells that count as missing.
 NA_TOKENS = [
@@ -139,7 +140,11 @@ def typed(
         if kind == "string":
             text = F.coalesce(col(name), F.lit("")) if blank_text else blank_na(col(name))
             return text.alias(name)
-        value = blank_na(col(name)).cast(kind)
+        text = blank_na(col(name))
+        if kind in ("int", "long"):
+            # Columns with missing cells come as 57.0 from tools that know whole numbers only as floats.
+            text = F.regexp_replace(text, r"^(\s*[+-]?\d+)\.0*\s*$", "$1")
+        value = text.cast(kind)
         if name in required:
             message = F.lit(f"column {name} holds a missing value")
             value = F.when(value.isNull(), F.raise_error(message).cast(kind)).otherwise(value)
@@ -148,6 +153,36 @@ def typed(
     return df.select(*[cell(c, kind) for c, kind in columns.items()])
 
 
+def files_by_header(
+    spark: SparkSession, path: str | Sequence[str], fmt: Format, wanted: Sequence[str] | None
+) -> dict[tuple[str, ...], list[str]]:
+    """The files of each header. The ``wanted`` columns (default: all) must be the same in all,
+    in the same order and case; other columns may differ.
+
+    One small read per file: a folder holds a few exports, each of any size.
+    """
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)
+    files = sorted(r.path for r in listed.select("path").collect())
+    if not files:
+        raise ValueError(f"no *.csv file in {path}")
+    found: dict[tuple[str, ...], list[str]] = {}
+    for file in files:
+        found.setdefault(tuple(header_of(spark, file, fmt)), []).append(file)
+    kept = {tuple(c for c in h if wanted is None or c in wanted): f for h, f in found.items()}
+    if len(kept) > 1:
+        raise ValueError(f"files have other columns in their header: {kept}")
+    missing = [c for c in wanted or () if c not in next(iter(kept))]
+    if missing:
+        raise ValueError(f"columns {missing} are not in {files}")
+    return found
+
+
+def with_bad_lines_refused(df: DataFrame, fmt: Format) -> DataFrame:
+    """All rows; a line with too many cells fails the query."""
+    wrong = F.raise_error(F.concat(F.lit("line with too many cells: "), col(RAW_LINE)))
+    return df.where(F.when(overlong(df, fmt), wrong.cast("boolean")).otherwise(True)).drop(RAW_LINE)
+
+
 def read_delimited(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -156,13 +191,46 @@ def read_delimited(
     fmt: Format = COMMA,
     names: Sequence[str] | None = None,
     required: Sequence[str] = (),
+    bad_lines: str = "error",
 ) -> DataFrame:
     """Columns of one file, several files or all ``*.csv`` files of a folder.
 
-    Without ``columns`` every column is read as text. Lines with too many cells are left out;
-    ``split_bad_lines(read_raw(...))`` returns them.
+    Without ``columns`` every column is read as text. A line with too many cells fails the query;
+    with ``bad_lines="set_aside"`` it is left out, and ``bad_lines_of`` returns all such lines.
     """
-    rows, _ = split_bad_lines(read_raw(spark, path, fmt, names), fmt)
-    return typed(
-        rows, columns or dict.fromkeys(rows.columns, "string"), required, fmt.blank_text
-    )
+    if bad_lines not in ("error", "set_aside"):
+        raise ValueError(f"bad_lines is 'error' or 'set_aside', not {bad_lines!r}")
+    parts = []
+    for part in _raw_parts(spark, path, columns, fmt, names):
+        refused = bad_lines == "error"
+        rows = with_bad_lines_refused(part, fmt) if refused else split_bad_lines(part, fmt)[0]
+        kinds = columns or dict.fromkeys(rows.columns, "string")
+        parts.append(typed(rows, kinds, required, fmt.blank_text))
+    return union_all(*parts)
+
+
+def bad_lines_of(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    columns: Mapping[str, str] | None = None,
+    *,
+    fmt: Format = COMMA,
+    names: Sequence[str] | None = None,
+) -> DataFrame:
+    """The raw lines with too many cells, as ``read_delimited`` sets them aside."""
+    parts = _raw_parts(spark, path, columns, fmt, names)
+    return union_all(*[split_bad_lines(p, fmt)[1] for p in parts])
+
+
+def _raw_parts(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    columns: Mapping[str, str] | None,
+    fmt: Format,
+    names: Sequence[str] | None,
+) -> list[DataFrame]:
+    """The files read as they are, one part for each header; mostly one."""
+    if names or not fmt.header:
+        return [read_raw(spark, path, fmt, names)]
+    found = files_by_header(spark, path, fmt, list(columns) if columns else None)
+    return [read_raw(spark, files, fmt, header) for header, files in found.items()]

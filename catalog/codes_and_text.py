@@ -36,11 +36,13 @@ def longest_prefix_group(t: Tables) -> DataFrame:
     )
 
 
+# Blanks, line breaks and the header line as the reports have them.
 WS = r"[\t-\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 NL = r"[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
 HEADER = (
-    r"\p{Nd}{2}\.\p{Nd}{2}\.\p{Nd}{4}_[-]+_[A-Z0-9\-]{3,6}_[-]+_+[A-Za-z]{5,12}_+[-]+_+\p{Nd}{1,9}/\p{Nd}{2}_+[-]+"
-).replace("_", WS)
+    rf"\p{{Nd}}{{2}}\.\p{{Nd}}{{2}}\.\p{{Nd}}{{4}}{WS}[-]+{WS}[A-Z0-9\-]{{3,6}}{WS}[-]+{WS}+"
+    rf"[A-Za-z]{{5,12}}{WS}+[-]+{WS}+\p{{Nd}}{{1,9}}/\p{{Nd}}{{2}}{WS}+[-]+"
+)
 
 
 @query(f"""
@@ -76,9 +78,9 @@ def report_head(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT event_id, CASE WHEN event_type = 'view' THEN NULL WHEN event_type = 'error' THEN NULL ELSE event_type END AS kind
+SELECT event_id, CASE WHEN event_id % 25 >= 19 THEN event_type END AS kind
 FROM events""")
 def na_tokens(t: Tables) -> DataFrame:
-    kind = F.col("event_type")
-    text = F.when(kind == "view", NA_TOKENS[5]).when(kind == "error", "").otherwise(kind)
+    token = F.get(F.array(*map(F.lit, NA_TOKENS)), (F.col("event_id") % 25).cast("int"))
+    text = F.coalesce(token, F.col("event_type"))
     return t.events.select("event_id", blank_na(text).alias("kind"))

@@ -132,22 +132,24 @@ def units_per_name(t: Tables) -> DataFrame:
 
 
 def shipping(t: Tables) -> DataFrame:
-    """Line items with the date they were promised for, 60 days after the order."""
+    """Line items with the date they were promised for, 60 days after the order; some are not shipped yet."""
     promised = F.col("o_orderdate") + F.make_dt_interval(days=F.lit(60))
     due = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), promised.alias("promised"))
-    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_shipdate").join(due, "l_orderkey")
+    shipped = F.when(F.col("l_linenumber") != 3, F.col("l_shipdate")).alias("l_shipdate")
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", shipped).join(due, "l_orderkey")
     return profiles.delays(rows, start="promised", end="l_shipdate", cap_minutes=30 * 1440)
 
 
 DELAY_SQL = """WITH d AS (
-  SELECT l_orderkey, l_linenumber, (epoch_us(l_shipdate) - epoch_us(o_orderdate + INTERVAL 60 DAY)) / 1e6 AS secs
+  SELECT l_orderkey, l_linenumber,
+         CASE WHEN l_linenumber <> 3 THEN (epoch_us(l_shipdate) - epoch_us(o_orderdate + INTERVAL 60 DAY)) / 1e6 END AS secs
   FROM lineitem JOIN orders ON o_orderkey = l_orderkey)"""
 
 
 @query(f"""{DELAY_SQL}
 SELECT l_orderkey, l_linenumber, secs AS delay_seconds, secs / 60.0 AS delay_minutes,
        CASE WHEN secs / 60.0 < 43200 THEN secs / 60.0 ELSE 43200.0 END AS delay_minutes_capped,
-       abs(secs) AS delay_seconds_abs, secs >= 0 AS end_not_before_start,
+       abs(secs) AS delay_seconds_abs, coalesce(secs >= 0, false) AS end_not_before_start,
        CAST(floor(secs / 300) * 5 AS BIGINT) AS bucket_5_min,
        CAST(floor(secs / 3600) * 60 AS BIGINT) AS bucket_1_h
 FROM d""")
@@ -164,7 +166,7 @@ def delay_buckets_before(t: Tables) -> DataFrame:
 
 
 @query(f"""{DELAY_SQL},
-v AS (SELECT CASE WHEN secs / 60.0 < 43200 THEN secs / 60.0 ELSE 43200.0 END::DOUBLE AS v FROM d),
+v AS (SELECT CASE WHEN secs / 60.0 < 43200 THEN secs / 60.0 ELSE 43200.0 END::DOUBLE AS v FROM d WHERE secs IS NOT NULL),
 e AS (SELECT min(v) AS lo, max(v) AS hi FROM v),
 edges AS (SELECT b::BIGINT AS bin, b * ((hi - lo) / 100) + lo AS lower,
                  CASE WHEN b = 99 THEN hi ELSE (b + 1) * ((hi - lo) / 100) + lo END AS upper
@@ -174,5 +176,6 @@ n AS (SELECT bin, count(*) AS n FROM v JOIN edges
 SELECT bin, round(lower, 6) AS lower, round(upper, 6) AS upper, coalesce(n, 0) AS n
 FROM edges LEFT JOIN n USING (bin)""")
 def delay_histogram(t: Tables) -> DataFrame:
-    bins = aggregate.histogram(shipping(t), "delay_minutes_capped")
+    known = shipping(t).where("delay_seconds IS NOT NULL")
+    bins = aggregate.histogram(known, "delay_minutes_capped")
     return bins.withColumns({c: F.round(c, 6) for c in ("lower", "upper")})

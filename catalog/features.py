@@ -227,13 +227,26 @@ def dimension_sets(t: Tables) -> DataFrame:
 
 @query(f"""{WITH_FINE}
 SELECT event_type,
-       {", ".join(f"count(*) FILTER (floor(minutes_before / 1440) = {i}) AS \"{i * 24}-{(i + 1) * 24}h\"" for i in range(8))},
+       {", ".join(f"count(*) FILTER (floor(minutes_before / 1440) = {i}) AS \"{i * 24}-{(i + 1) * 24}h\"" for i in range(7))},
+       count(*) FILTER (minutes_before >= 7 * 1440) AS ">=168h",
        round_even(CAST(count(*) FILTER (floor(minutes_before / 1440) = 0) AS DOUBLE) * 100
                   / (SELECT count(*) FROM (SELECT DISTINCT user_id, anchor_ts FROM latest)), 1) AS coverage
 FROM latest GROUP BY event_type""")
 def time_window_matrix(t: Tables) -> DataFrame:
     return profiles.time_window_table(
-        latest(t, fine=True), case=CASE, dim="event_type", hours_per_window=24
+        latest(t, fine=True), case=CASE, dim="event_type", hours_per_window=24, lookback_hours=HOURS
+    )
+
+
+@query(f"""{WITH_FINE}
+SELECT event_type, count(*) FILTER (minutes_before < 2880) AS "0-48h", count(*) FILTER (minutes_before >= 2880) AS ">=48h",
+       round_even(CAST(count(*) FILTER (minutes_before < 2880) AS DOUBLE) * 100
+                  / (SELECT count(*) FROM (SELECT DISTINCT user_id, anchor_ts FROM latest)), 1) AS coverage
+FROM latest GROUP BY event_type""")
+def time_window_open_end(t: Tables) -> DataFrame:
+    """Values from further back than the windows reach stand in the last one."""
+    return profiles.time_window_table(
+        latest(t, fine=True), case=CASE, dim="event_type", hours_per_window=48, lookback_hours=48
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from anteframe import vocab
 from anteframe.columns import col
 from anteframe.operators.aggregate import distinct_counts
-from anteframe.plans import cohort, labs, training
+from anteframe.plans import cohort, labs, profiles, training
 
 from .registry import Tables, query
 
@@ -38,7 +38,7 @@ def lab_sources(t: Tables) -> dict[str, DataFrame]:
         stamp("+0100"),
         stamp("+0100", 30),
         F.when(k < 10, "positiv").otherwise(F.translate(v, ".", ",")),
-        F.when(k < 25, "O-K_Z").when(k < 50, "K_S").when(k < 75, "NA_S").otherwise("B-HGB_E"),
+        F.when(k < 25, "O-K_Z").when(k < 50, "K_S").when(k < 75, "NA_S").when(k < 88, "B-HGB_E").otherwise("NEW_S"),
     )
     late = source(
         "view",
@@ -50,7 +50,7 @@ def lab_sources(t: Tables) -> dict[str, DataFrame]:
     gas = source(
         "signup",
         F.when(k >= 30, stamp("Z")),
-        stamp("Z", 10),
+        F.when(k % 9 != 5, F.when(k % 7 == 0, stamp("Z", -20)).otherwise(stamp("Z", 10))),
         v,
         F.when(k > 80, vocab.SAMPLE_KIND_ID).otherwise("O-CL_Z"),
     )
@@ -75,12 +75,13 @@ LABS_SQL = """
 e AS (SELECT *, CAST(json_extract_string(props, '$.k') AS INT) AS k, date_trunc('second', ts) AS s, value::VARCHAR AS v FROM events),
 raw AS (
   SELECT user_id, s - INTERVAL 1 HOUR AS seen, replace(v, '.', ',') AS txt, value,
-         CASE WHEN k < 25 THEN 'O-K_Z' WHEN k < 50 THEN 'K_S' WHEN k < 75 THEN 'NA_S' ELSE 'B-HGB_E' END AS code
+         CASE WHEN k < 25 THEN 'O-K_Z' WHEN k < 50 THEN 'K_S' WHEN k < 75 THEN 'NA_S' WHEN k < 88 THEN 'B-HGB_E' ELSE 'NEW_S' END AS code
   FROM e WHERE event_type = 'error' AND k >= 10
   UNION ALL SELECT user_id, s - INTERVAL 2 HOUR, '<' || v, value, CASE WHEN k < 40 THEN 'CKDEPI' ELSE 'CRE_S' END
   FROM e WHERE event_type = 'view' AND k >= 20
-  UNION ALL SELECT user_id, CASE WHEN k < 30 THEN date_trunc('second', ts + INTERVAL 10 MINUTE) ELSE s END, v, value, 'O-CL_Z'
-  FROM e WHERE event_type = 'signup' AND k <= 80
+  UNION ALL SELECT user_id, seen, v, value, 'O-CL_Z'
+  FROM (SELECT *, CASE WHEN k >= 30 THEN s WHEN k % 9 = 5 THEN NULL WHEN k % 7 = 0 THEN s - INTERVAL 20 MINUTE ELSE s + INTERVAL 10 MINUTE END AS seen FROM e)
+  WHERE event_type = 'signup' AND k <= 80 AND seen IS NOT NULL
   UNION ALL SELECT user_id, s - INTERVAL 1 HOUR, '> ' || v, value,
          CASE WHEN k < 50 THEN 'K_H' ELSE 'O-GLU_Z.' || lpad((k * 37 % 2400)::VARCHAR, 4, '0') END
   FROM e WHERE event_type = 'click'),
@@ -175,12 +176,55 @@ def lab_features(t: Tables) -> DataFrame:
     return naive(labs.lab_features(procs(t), clean_labs(t)))
 
 
+# The short list as its columns, and the ids from which they are made, before any are merged.
 REDUCED = [f'wide."{i}" IS NOT NULL' for i in vocab.LAB_FEATURES_REDUCED]
-SOME_REDUCED = " OR ".join(REDUCED)
+RAW_REDUCED = ", ".join(f"'{i}'" for i in vocab.LAB_IDS_REDUCED)
+REDUCED_SQL = f"""all_labs AS (SELECT * FROM labs),
+few AS (SELECT * FROM all_labs WHERE "Parameter-ID primär" IN ({RAW_REDUCED})),
+{LATEST_SQL.replace("JOIN labs l", "JOIN few l")}, {WIDE_SQL}"""
 
 
-@query(f"""WITH {LABS_SQL}, {LABELLED_SQL}, {LATEST_SQL}, {WIDE_SQL},
-n AS (SELECT count(*) FILTER ({SOME_REDUCED}) AS n_rows, count(*) FILTER ({" AND ".join(REDUCED)}) AS n_complete FROM wide)
+@query(f"""WITH {LABS_SQL}, {LABELLED_SQL}, {REDUCED_SQL}
+SELECT "Fallnummer", prozedur_datetime, "x-K_x", "x-NA_x", "CRE_S" FROM wide
+WHERE "x-K_x" IS NOT NULL AND "x-NA_x" IS NOT NULL AND "CRE_S" IS NOT NULL""")
+def lab_features_reduced(t: Tables) -> DataFrame:
+    """With three of the columns: no case here has all of the short list."""
+    few = ["x-K_x", "x-NA_x", "CRE_S"]
+    return naive(labs.lab_features(procs(t), clean_labs(t), variant="reduced", ids=few))
+
+
+@query(f"""WITH {LABS_SQL} SELECT parameterid_effektiv, count(*) AS n FROM labs WHERE parameterid_effektiv = 'NEW_S' GROUP BY ALL""")
+def unlisted_lab_values(t: Tables) -> DataFrame:
+    return labs.unlisted_values(clean_labs(t))
+
+
+GAS_SQL = """
+e AS (SELECT *, CAST(json_extract_string(props, '$.k') AS INT) AS k, date_trunc('second', ts) AS s FROM events),
+gas AS (SELECT CASE WHEN k > 80 THEN 'O-PROBENTYP' ELSE 'O-CL_Z' END AS code, CASE WHEN k >= 30 THEN s END AS seen,
+               CASE WHEN k % 9 <> 5 THEN CASE WHEN k % 7 = 0 THEN s - INTERVAL 20 MINUTE ELSE s + INTERVAL 10 MINUTE END END AS done
+        FROM e WHERE event_type = 'signup')"""
+
+
+@query(f"""WITH {GAS_SQL},
+v AS (SELECT epoch(done - seen) / 60 AS v FROM gas WHERE seen IS NOT NULL AND done IS NOT NULL),
+b AS (SELECT bin, -20 + bin * 0.3::DOUBLE AS lower, CASE WHEN bin = 99 THEN 10 ELSE -20 + (bin + 1) * 0.3::DOUBLE END AS upper FROM range(100) r(bin))
+SELECT bin::BIGINT AS bin, round(lower, 6) AS lower, round(upper, 6) AS upper,
+       CASE bin WHEN 0 THEN (SELECT count(*) FROM v WHERE v = -20) WHEN 99 THEN (SELECT count(*) FROM v WHERE v = 10) ELSE 0 END AS n
+FROM b""")
+def blood_gas_delay_histogram(t: Tables) -> DataFrame:
+    bins = profiles.blood_gas_delay_histogram(lab_sources(t)["blood_gas"])
+    return bins.withColumns({c: F.round(c, 6) for c in ("lower", "upper")})
+
+
+@query(f"""WITH {GAS_SQL}
+SELECT code AS "Parameter-ID primär", CAST(year(coalesce(seen, done)) AS INTEGER) AS year, count(*) AS n
+FROM gas WHERE coalesce(seen, done) IS NOT NULL GROUP BY ALL""")
+def blood_gas_years(t: Tables) -> DataFrame:
+    return profiles.blood_gas_counts_by_year(lab_sources(t)["blood_gas"])
+
+
+@query(f"""WITH {LABS_SQL}, {LABELLED_SQL}, {REDUCED_SQL},
+n AS (SELECT count(*) AS n_rows, count(*) FILTER ({" AND ".join(REDUCED)}) AS n_complete FROM wide)
 SELECT n_rows, n_complete, n_rows - n_complete AS n_lost, round_even(n_complete::DOUBLE * 100 / n_rows, 1) AS percent_complete FROM n""")
 def reduced_completeness(t: Tables) -> DataFrame:
     return labs.reduced_completeness(procs(t), clean_labs(t))
@@ -374,7 +418,7 @@ p AS (SELECT DISTINCT "Fallnummer", prozedur_datum,
 
 
 def report_source(t: Tables) -> DataFrame:
-    """A report per order and a second version of the expensive ones."""
+    """A report per order, a second version of the expensive ones, exact copies of some others."""
     day, late_day = F.date_format("o_orderdate", "dd.MM.yyyy"), F.date_add("o_orderdate", 2)
     price = F.col("o_totalprice")
     number = F.concat(F.col("o_orderkey").cast("string"), F.lit("/15"))
@@ -396,7 +440,8 @@ def report_source(t: Tables) -> DataFrame:
         "o_totalprice",
     )
     again = first.where("o_totalprice > 300000").withColumn("DOKNR", F.col("DOKNR") + 10000000)
-    return first.unionByName(again).drop("o_totalprice")
+    copies = first.where("o_totalprice BETWEEN 150000 AND 250000")
+    return first.unionByName(again).unionByName(copies).drop("o_totalprice")
 
 
 REPORT_SQL = """
@@ -405,7 +450,8 @@ r0 AS (SELECT "Fallnummer", o_orderkey AS "DOKNR",
        CASE WHEN o_totalprice >= 200000 THEN o_orderkey || '/15' END AS befund_nummer,
        CASE WHEN o_totalprice < 200000 THEN o_orderstatus || o_orderpriority || 'xy' END AS "CONTENT_head",
        CASE WHEN o_totalprice < 200000 THEN o_orderdate + INTERVAL 2 DAY ELSE o_orderdate END AS befund_datum, o_totalprice FROM o),
-r1 AS (SELECT * FROM r0 UNION ALL SELECT * REPLACE ("DOKNR" + 10000000 AS "DOKNR") FROM r0 WHERE o_totalprice > 300000),
+r1 AS (SELECT * FROM r0 UNION ALL SELECT * REPLACE ("DOKNR" + 10000000 AS "DOKNR") FROM r0 WHERE o_totalprice > 300000
+       UNION ALL SELECT * FROM r0 WHERE o_totalprice BETWEEN 150000 AND 250000),
 r2 AS (SELECT * EXCLUDE (o_totalprice) FROM r1 QUALIFY row_number() OVER (
          PARTITION BY "Fallnummer", prozedur_datum, befund_nummer, "CONTENT_head"
          ORDER BY befund_datum DESC NULLS LAST, "DOKNR" DESC) = 1),
@@ -461,7 +507,6 @@ def reports_with_procedure(t: Tables) -> DataFrame:
     joined = cohort.reports_with_procedure(
         cohort.usable_reports(report_source(t)),
         cohort.procedures(*procedure_sources(t)),
-        check=False,
     )
     return naive(joined.select(*REPORT_COLUMNS, "prozedur_zeit", "num_start_times"))
 
@@ -478,7 +523,6 @@ def cohort_for_labelling(t: Tables) -> DataFrame:
         cohort.usable_reports(report_source(t)),
         cohort.procedures(*procedure_sources(t)),
         cohort.inpatients(*master_sources(t)),
-        check=False,
     )
     return naive(
         rows.select(

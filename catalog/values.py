@@ -109,9 +109,9 @@ FIT_SQL = """CASE p_size % 4 WHEN 0 THEN lo_text IS NOT NULL AND hi IS NOT NULL
  ELSE lo_text IS NULL AND hi IS NULL END"""
 
 
-@query(f"""{LABS_SQL} SELECT p_partkey, {FIT_SQL} AS fits FROM l""")
+@query(f"""{LABS_SQL.replace(" WHERE p_brand <> 'Brand#9'", "")} SELECT p_partkey, {FIT_SQL} AS fits FROM l""")
 def category_fit(t: Tables) -> DataFrame:
-    rows = as_labs(t).join(t.part.where("p_brand <> 'Brand#9'").select("p_partkey", "p_size"), "p_partkey")
+    rows = as_labs(t).join(t.part.select("p_partkey", "p_size"), "p_partkey")
     category = F.col("p_size") % 4
     lower, upper = F.col("Referenzwert unten"), F.col("Referenzwert oben")
     return rows.select("p_partkey", ranges.category_fits(category, lower, upper).alias("fits"))
@@ -140,13 +140,14 @@ def clean_ranges_statistics(t: Tables) -> DataFrame:
 
 @query("""
 SELECT event_id, date_trunc('second', ts) - INTERVAL 1 HOUR AS plus_one, date_trunc('second', ts) + INTERVAL 150 MINUTE AS minus_two_and_half,
-       date_trunc('second', ts) AS zulu, NULL::TIMESTAMP AS broken
+       date_trunc('second', ts) AS zulu, NULL::TIMESTAMP AS broken, NULL::TIMESTAMP AS no_offset,
+       date_trunc('second', ts) - INTERVAL 1 HOUR + INTERVAL 250 MILLISECOND AS fraction
 FROM events""")
 def offset_timestamps(t: Tables) -> DataFrame:
     text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
 
-    def parsed(suffix: str, name: str) -> F.Column:
-        utc = times.offset_timestamp(F.concat(text, F.lit(suffix)))
+    def parsed(suffix: str, name: str, strict: bool = True) -> F.Column:
+        utc = times.offset_timestamp(F.concat(text, F.lit(suffix)), strict=strict)
         return utc.cast("timestamp_ntz").alias(name)
 
     return t.events.select(
@@ -154,7 +155,9 @@ def offset_timestamps(t: Tables) -> DataFrame:
         parsed("+0100", "plus_one"),
         parsed("-02:30", "minus_two_and_half"),
         parsed("Z", "zulu"),
-        parsed(" Uhr", "broken"),
+        parsed(" Uhr", "broken", strict=False),
+        parsed("", "no_offset", strict=False),
+        parsed(".25+01:00", "fraction"),
     )
 
 

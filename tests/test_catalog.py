@@ -32,3 +32,31 @@ def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns == ["user_id", "anchor_ts", "click", "error", "signup", "view"]
     assert df.count() > 0
+
+
+def exchanged(df):
+    """The lines of a plan that say what an exchange carries."""
+    plan = df._jdf.queryExecution().executedPlan()
+    text = plan.treeString()
+    return [line for line in text.splitlines() if "Exchange" in line], text
+
+
+def test_report_texts_are_not_shuffled(spark):
+    df = QUERIES["unique_reports"](spark, FOLDER)
+    df.collect()
+    lines, text = exchanged(df)
+    assert lines and "CONTENT#" in text
+    for line, below in zip(text.splitlines(), text.splitlines()[1:]):
+        if "Exchange" in line and "hashpartitioning" in line:
+            assert "CONTENT#" not in line and "CONTENT#" not in below
+
+
+def test_unknown_cases_are_left_out_before_anything_is_shuffled(spark):
+    plan = QUERIES["lab_features"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    depth = [(len(line) - len(line.lstrip(" :+-")), line) for line in plan.splitlines()]
+    scans = [i for i, (_, line) in enumerate(depth) if "LeftSemi" in line]
+    assert scans
+    for i in scans:
+        inside = [line for d, line in depth[i + 1 :][: next((n for n, (d, _) in enumerate(depth[i + 1 :]) if d <= depth[i][0]), None)]]
+        left = inside[: next((n for n, line in enumerate(inside) if "Aggregate" in line and "user_id" in line and "ergebniswert" not in line), None)]
+        assert not any("Aggregate" in line and "Probeneingangsdatum" in line for line in left)

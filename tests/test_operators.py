@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -144,21 +145,13 @@ def test_histogram_of_one_value(spark):
     assert [r["n"] for r in got] == list(np.histogram([7.0, 7.0], bins=4)[0])
 
 
-def brute_curve(sets_by_case):
-    count = {}
-    for s in sets_by_case.values():
-        for d in s:
-            count[d] = count.get(d, 0) + 1
-    ranked = sorted(count, key=lambda d: (-count[d], d))
-    out, core = [], set()
-    for k, d in enumerate(ranked, 1):
-        core.add(d)
-        kept = sum(core <= s for s in sets_by_case.values())
-        share = kept / len(sets_by_case) * 100.0
-        out.append((k, d, kept, share, 100.0 - share))
-        if kept == 0:
-            break
-    return out
+def share_with_first(cases, k):
+    """(k, dimension of rank k, cases that hold the first k, shares in percent), from the definition."""
+    sizes = Counter(d for s in cases.values() for d in s)
+    first = sorted(sizes, key=lambda d: (-sizes[d], d))[:k]
+    kept = [c for c, s in cases.items() if set(first).issubset(s)]
+    share = 100.0 * len(kept) / len(cases)
+    return k, first[-1], len(kept), pytest.approx(share), pytest.approx(100.0 - share)
 
 
 @pytest.mark.parametrize("seed", range(5))
@@ -172,7 +165,10 @@ def test_coverage_curve(spark, seed):
             cases[c] = s
     df = spark.createDataFrame([(c, d) for c, s in cases.items() for d in s], "case int, dim string")
     got = profiles.coverage_curve(df, case=["case"], dim="dim").orderBy("k_num_params")
-    assert [tuple(r) for r in got.collect()] == brute_curve(cases)
+    want = [share_with_first(cases, k) for k in range(1, 1 + len(set().union(*cases.values())))]
+    # Nothing follows the first k that no case fulfils.
+    stop = next((i for i, w in enumerate(want) if w[2] == 0), len(want) - 1)
+    assert [tuple(r) for r in got.collect()] == want[: stop + 1]
 
 
 def test_subset_test(spark):
@@ -185,8 +181,13 @@ def test_time_windows_and_timing(spark):
     df = spark.createDataFrame(
         [(1, "a", 0.0), (1, "b", 1440.0), (2, "a", 10080.0), (3, "a", 1439.9)], "case int, dim string, minutes_before double"
     )
-    table = profiles.time_window_table(df, case=["case"], dim="dim", hours_per_window=24).orderBy("dim")
-    assert table.columns == ["dim", *[f"{24 * i}-{24 * (i + 1)}h" for i in range(8)], "coverage"]
+    table = profiles.time_window_table(df, case=["case"], dim="dim", hours_per_window=24, lookback_hours=168).orderBy("dim")
+    assert table.columns == ["dim", *[f"{24 * i}-{24 * (i + 1)}h" for i in range(7)], ">=168h", "coverage"]
+    far = profiles.time_window_table(df, case=["case"], dim="dim", hours_per_window=24, lookback_hours=24).orderBy("dim")
+    assert [tuple(r) for r in far.collect()] == [("a", 2, 1, 66.7), ("b", 0, 1, 0.0)]
+    late = df.withColumn("minutes_before", F.lit(-1.0))
+    with pytest.raises(Exception, match="no time window"):
+        profiles.time_window_table(late, case=["case"], dim="dim", hours_per_window=24, lookback_hours=24).collect()
     assert [tuple(r) for r in table.collect()] == [("a", 2, 0, 0, 0, 0, 0, 0, 1, 66.7), ("b", 0, 1, 0, 0, 0, 0, 0, 0, 0.0)]
     stats = profiles.timing_stats(df, dim="dim", quartiles=True).collect()
     assert [r["dim"] for r in stats] == ["a", "b"] and stats[1]["median_hours"] == 24.0

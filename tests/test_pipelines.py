@@ -120,7 +120,8 @@ def test_diagnoses(diags):
 
 
 def test_training_table(spark, files, lab_sources, diags):
-    labelled = clinic.read_labelled(spark, f"{files}/labelled")
+    labelled, bad = clinic.read_labelled(spark, f"{files}/labelled")
+    assert bad.count() == 0
     assert rows(training.selection_counts(labelled)) == [(7, 3)]
     values = labs.labs_from_sources(lab_sources)
     table = training.training_table(labelled, values, diags)
@@ -154,17 +155,23 @@ def test_reduced_variant_keeps_complete_rows_only(spark):
     wanted = vocab.LAB_FEATURES_REDUCED
     t = at("2020-01-10 12:00:00")
     procs = spark.createDataFrame([(1, t), (2, t)], "Fallnummer long, prozedur_datetime timestamp")
-    values = [(1, p, t, 1.0) for p in wanted] + [(2, p, t, 1.0) for p in wanted[1:]]
+    raw = {"x-K_x": "O-K_Z", "x-NA_x": "NA_S"}
+    values = [(1, raw.get(p, p), p) for p in wanted] + [(2, raw.get(p, p), p) for p in wanted if p != "x-K_x"]
+    # Case 2 has its potassium only from an id that is not on the short list.
+    values.append((2, "K_H", "x-K_x"))
     df = spark.createDataFrame(
-        values, "Fallnummer long, parameterid_effektiv string, abnahmezeitpunkt_effektiv timestamp, ergebniswert_num double"
+        [(c, t, r, p, t, 1.0) for c, r, p in values],
+        "Fallnummer long, Probeneingangsdatum timestamp, `Parameter-ID primär` string, parameterid_effektiv string,"
+        " abnahmezeitpunkt_effektiv timestamp, ergebniswert_num double",
     )
     assert rows(labs.lab_features(procs, df, variant="reduced").select("Fallnummer")) == [(1,)]
     assert rows(labs.reduced_completeness(procs, df)) == [(2, 1, 1, 50.0)]
-    assert rows(labs.mean_features_per_case(df, wanted[:1])) == [(1, 1.0), (2, None)]
+    assert rows(labs.mean_features_per_case(df, wanted[:1])) == [(1, 1.0), (2, 1.0)]
 
 
 def test_cohort(spark, files):
-    reports = clinic.read_reports(spark, f"{files}/reports")
+    reports, bad = clinic.read_reports(spark, f"{files}/reports")
+    assert bad.count() == 0
     parsed = cohort.parsed_reports(reports)
     assert rows(cohort.unusable_reports(parsed)) == [(6, 1)]
     heads = parsed.select("DOKNR", "befund_nummer", "CONTENT_head", "prozedur_datum", "CONTENT_length")
@@ -186,8 +193,9 @@ def test_cohort(spark, files):
     assert rows(final.select("Fallnummer", "prozedur_datetime", "alter_bei_prozedur", "altersdekade_bei_prozedur")) == [
         (1, at("2020-01-10 12:00:00"), 50, 5)
     ]
-    with pytest.raises(ValueError, match="not unique"):
-        cohort.reports_with_procedure(parsed, procs)
+    with pytest.raises(Exception, match="not unique"):
+        cohort.reports_with_procedure(parsed, procs).collect()
+    assert rows(cohort.usable_reports(reports.unionByName(reports)).select("DOKNR", "CONTENT")) == rows(usable.select("DOKNR", "CONTENT"))
 
 
 def test_range_pipeline(spark):
@@ -210,7 +218,48 @@ def test_range_pipeline(spark):
     clean, statistics = profiles.clean_ranges(labs.with_definitions(df, defs))
     assert rows(statistics) == [(6, 3, 3, 50.0)]
     normalised = labs.with_normalised_values(clean.drop("Kategorie"), defs)
+    assert rows(labs.with_normalised_values(clean, defs).select("Ergebniswert_normalisiert")) == [(0.25,), (0.5,), (None,)]
     assert rows(normalised.select("Ergebniswert_normalisiert")) == [(0.25,), (0.5,), (None,)]
     assert labs.with_definitions(df, None) is df and labs.with_normalised_values(df, None) is df
     fresh = labs.with_normalised_values(df.where("Ergebniswert = '4' AND `Referenzwert unten` IS NULL"), defs)
     assert rows(fresh.select("Ergebniswert_normalisiert", F.col("Ergebniswert_num"))) == [(0.5, 4.0)]
+
+
+def test_rows_do_not_depend_on_the_listed_ids(spark):
+    t = at("2020-01-10 12:00:00")
+    procs = spark.createDataFrame([(1, t), (2, t), (3, t)], "Fallnummer long, prozedur_datetime timestamp")
+    df = spark.createDataFrame(
+        [(1, t, "CRP_S", 1.0), (1, t, "NEW_S", 2.0), (2, t, "NEW_S", 3.0)],
+        "Fallnummer long, abnahmezeitpunkt_effektiv timestamp, parameterid_effektiv string, ergebniswert_num double",
+    ).withColumns({"Probeneingangsdatum": F.col("abnahmezeitpunkt_effektiv"), "Parameter-ID primär": F.col("parameterid_effektiv")})
+    assert rows(labs.lab_features(procs, df).select("Fallnummer", "CRP_S")) == [(1, 1.0), (2, None)]
+    every = labs.lab_features(procs, df, ids="all")
+    assert every.columns[2:] == ["CRP_S", "NEW_S"]
+    assert rows(every.select("Fallnummer", "CRP_S", "NEW_S")) == [(1, 1.0, 2.0), (2, None, 3.0)]
+    assert rows(labs.unlisted_values(df)) == [("NEW_S", 2)]
+    with pytest.raises(ValueError, match="all"):
+        labs.lab_features(procs, df, ids="every")
+
+
+def test_wrong_sampling_times(spark):
+    texts = ["2020-01-10T10:00:00+0100", "2020-01-10T10:00:00.5Z", "10.01.2020 10:00", "2020-01-10T10:00:00", None]
+    df = spark.createDataFrame([(x, "CRP_S") for x in texts], "Probeneingangsdatum string, `Parameter-ID primär` string")
+    assert rows(labs.unusable_times(df)) == [(5, 2)]
+    got = labs.harmonised_labs(df.where("Probeneingangsdatum RLIKE '(Z|[+]0100)$'")).select("Probeneingangsdatum")
+    assert rows(got) == [(at("2020-01-10 10:00:00.500000"),), (at("2020-01-10 09:00:00"),)]
+    with pytest.raises(Exception, match="not a time with an offset"):
+        labs.harmonised_labs(df).collect()
+    lenient = labs.harmonised_labs(df, strict=False)
+    assert lenient.where("Probeneingangsdatum IS NULL").count() == 1
+
+
+def test_blood_gas_delays(spark):
+    gas = spark.createDataFrame(
+        [("2020-01-10T10:00:00+0100", "2020-01-10T10:30:00+0100", "O-PH_Z"), (None, "2019-12-31T23:30:00+0000", "O-PH_Z"),
+         ("2020-01-10T10:00:00Z", "2020-01-10T09:50:00Z", "O-PH_Z"), ("2020-01-10T10:00:00Z", None, "O-K_Z"), (None, None, "O-K_Z")],
+        "Probeneingangsdatum string, Ergebnisdatum string, `Parameter-ID primär` string",
+    )
+    assert rows(profiles.blood_gas_delays(gas).select("delay_minutes")) == [(-10.0,), (30.0,)]
+    bins = profiles.blood_gas_delay_histogram(gas, bins=4).orderBy("bin").collect()
+    assert [(r["lower"], r["n"]) for r in bins] == [(-10.0, 1), (0.0, 0), (10.0, 0), (20.0, 1)]
+    assert rows(profiles.blood_gas_counts_by_year(gas)) == [("O-K_Z", 2020, 1), ("O-PH_Z", 2019, 1), ("O-PH_Z", 2020, 2)]
