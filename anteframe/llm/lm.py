@@ -36,9 +36,11 @@ EMBEDDING, STATE = 24, 32
 #: Of so many training documents one is trained on; streams and steps of a training window.
 SHARE, STREAMS, WINDOW = 8, 64, 20
 #: Slopes far below ``CALM`` hardly move a weight: few tokens say little about a rare word.
-RATE, ROUNDS, MERGED, CALM = 4e-3, 2, 32, 1e-4
+RATE, ROUNDS, MERGED, CALM = 4e-3, 2, 8, 1e-4
 #: Tokens scored together, at least; a longer document is whole.
-TOGETHER = 300_000
+TOGETHER = 800_000
+#: States that are turned into predictions at once, at least.
+PREDICTED = 8192
 
 END = np.uint64(0xE0F0E0F0E0F0E0F0)
 
@@ -194,14 +196,27 @@ def log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
 
+def chosen_log(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """One entry of each row of ``log_softmax``; ``x`` is overwritten."""
+    rows = np.arange(len(x))
+    # Far from what an exponential can hold, as trained weights are, no row needs its own maximum.
+    if np.abs(x).max(initial=0) > 60:
+        return log_softmax(x)[rows, at]
+    own = x[rows, at]
+    return own - np.log(np.exp(x, out=x).sum(axis=1))
+
+
 def predictions(p: dict, h: np.ndarray, number: np.ndarray, grad: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
     """Natural logarithm of each token's probability after its state; with ``grad`` the slopes too."""
     kind = class_of(number)
     rows = np.arange(len(h))
-    logs = log_softmax(h @ p["class_w"] + p["class_b"])
-    out = logs[rows, kind].astype(np.float64)
+    logits = h @ p["class_w"] + (p["class_b"] - p["class_b"].max())
     back = None
-    if grad is not None:
+    if grad is None:
+        out = chosen_log(logits, kind).astype(np.float64)
+    else:
+        logs = log_softmax(logits)
+        out = logs[rows, kind].astype(np.float64)
         d = np.exp(logs)
         d[rows, kind] -= 1
         grad["class_w"] += h.T @ d
@@ -212,9 +227,12 @@ def predictions(p: dict, h: np.ndarray, number: np.ndarray, grad: dict | None =
     for c in np.flatnonzero(np.diff(ends)):
         own = order[ends[c] : ends[c + 1]]
         word = number[own] - c * (WORDS // CLASSES)
-        logs = log_softmax(h[own] @ p["word_w"][c] + p["word_b"][c])
-        out[own] += logs[np.arange(len(own)), word]
-        if grad is not None:
+        logits = h[own] @ p["word_w"][c] + (p["word_b"][c] - p["word_b"][c].max())
+        if grad is None:
+            out[own] += chosen_log(logits, word)
+        else:
+            logs = log_softmax(logits)
+            out[own] += logs[np.arange(len(own)), word]
             d = np.exp(logs)
             d[np.arange(len(own)), word] -= 1
             grad["word_w"][c] += h[own].T @ d
@@ -300,14 +318,18 @@ def trained(texts: DataFrame, v: Vocabulary) -> np.ndarray:
                 seen += sum(map(len, numbers))
                 now = train(now, np.concatenate(numbers))
             if seen:
-                yield row(now.astype(np.float64) * seen, seen)
+                yield row(now, seen)
 
         def row(weights: np.ndarray, n: int) -> pa.RecordBatch:
-            return pa.record_batch([pa.array([n], pa.int64()), pa.array([weights.tobytes()], pa.binary())], ["n", "weights"])
+            raw = weights.astype(np.float32).tobytes()
+            return pa.record_batch([pa.array([n], pa.int64()), pa.array([raw], pa.binary())], ["n", "weights"])
+
+        def mean(pairs: list[tuple[int, bytes]]) -> np.ndarray:
+            return sum(np.frombuffer(w, np.float32) * (n / sum(n for n, _ in pairs)) for n, w in pairs)
 
         def add(key: tuple, rows: pa.Table) -> pa.Table:
-            total = sum(np.frombuffer(w.as_py()) for w in rows.column("weights"))
-            return pa.Table.from_batches([row(total, int(sum(x.as_py() for x in rows.column("n"))))])
+            n = rows.column("n").to_pylist()
+            return pa.Table.from_batches([row(mean(list(zip(n, rows.column("weights").to_pylist(), strict=True))), sum(n))])
 
         sums = stored(texts.where(part == turn).select("text").mapInArrow(learn, "n long, weights binary"))
         while (count := sums.count()) > MERGED:
@@ -315,7 +337,7 @@ def trained(texts: DataFrame, v: Vocabulary) -> np.ndarray:
             sums = stored(sums.groupBy(F.pmod(F.xxhash64("n", "weights"), F.lit(groups))).applyInArrow(add, "n long, weights binary"))
         rows = sums.collect()
         if rows:
-            flat = (sum(np.frombuffer(r.weights) for r in rows) / sum(r.n for r in rows)).astype(np.float32)
+            flat = mean([(r.n, bytes(r.weights)) for r in rows]).astype(np.float32)
     return flat
 
 
@@ -328,18 +350,22 @@ def likelihoods(p: dict, numbers: np.ndarray, off: np.ndarray) -> np.ndarray:
     inputs_x = p["embedding"] @ p["w"] + p["b"]
     h = np.zeros((len(order), STATE), np.float32)
     longest = int(n[0]) if len(n) else 0
-    for at in range(0, longest, WINDOW):
-        states, target, text = [], [], []
-        for i in range(at, min(at + WINDOW, longest)):
-            live = int(np.searchsorted(-n, -i, "left"))
-            place = begin[:live] + i
-            last = numbers[place - 1] if i else np.zeros(live, np.int64)
-            h = step(p, inputs_x[last], h[:live])[0]
-            states.append(h)
-            target.append(numbers[place])
-            text.append(np.arange(live))
-        logs, _ = predictions(p, np.concatenate(states), np.concatenate(target))
-        total += np.bincount(np.concatenate(text), logs, len(total))
+    # Texts that still go on at each step.
+    live_at = len(n) - np.searchsorted(n[::-1], np.arange(longest), "right")
+    states, target, text, waiting = [], [], [], 0
+    for i in range(longest):
+        live = int(live_at[i])
+        place = begin[:live] + i
+        last = numbers[place - 1] if i else np.zeros(live, np.int64)
+        h = step(p, inputs_x[last], h[:live])[0]
+        states.append(h)
+        target.append(numbers[place])
+        text.append(np.arange(live))
+        waiting += live
+        if waiting >= PREDICTED or i + 1 == longest:
+            logs, _ = predictions(p, np.concatenate(states), np.concatenate(target))
+            total += np.bincount(np.concatenate(text), logs, len(total))
+            states, target, text, waiting = [], [], [], 0
     out = np.zeros(len(order))
     out[order] = total
     return out
