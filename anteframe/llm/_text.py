@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -38,6 +40,13 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, off - off[0]
 
 
+def give_back() -> None:
+    """Hands freed memory back to the machine: a worker waits for its next task with what it holds."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # only some C libraries can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def pieces(batches: Iterable[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches, cut so that the texts of each hold at most ``limit`` bytes, or one row."""
     for batch in batches:
@@ -51,6 +60,7 @@ def pieces(batches: Iterable[pa.RecordBatch], text: str, limit: int = CHUNK_BYTE
             stop = max(row + 1, int(np.searchsorted(ends, before + limit, "right")))
             yield batch.slice(row, stop - row)
             row = stop
+    give_back()
 
 
 _POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]

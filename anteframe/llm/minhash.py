@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ._graph import components
 from ._store import batches_of, of_ids, ready, stored
-from ._text import BLANKS, Words, mix, pieces, run_hash, text_bytes
+from ._text import BLANKS, Words, give_back, mix, pieces, run_hash, text_bytes
 
 COORDINATES = 48
 MATCHES = 25
@@ -143,6 +143,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 both = len(np.intersect1d(p, q, assume_unique=True))
                 keep.append(100 * both >= percent * (len(p) + len(q) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        give_back()
 
     one = sets.select(F.col("id").alias("a"), F.col("hashes").alias("x"), F.col("n").alias("nx"))
     two = sets.select(F.col("id").alias("b"), F.col("hashes").alias("y"), F.col("n").alias("ny"))
