@@ -5,11 +5,11 @@ predicted one by one, in classes of similar frequency; all others by a class of
 and within it by their counts: P(word) = P(class | before) * P(word | class). So the model gives
 every word, also one never seen, a probability, and all together sum to one.
 
-The recurrent network is trained by truncated backpropagation in tasks, each on its part of the
-training texts, from a common start; their weights are averaged in a tree, and a second round goes
-on from there. One of ``SHARE`` training documents goes through the network, whatever the size of
-the table; the counts come from all. Scoring carries the state through a document's windows to its
-end.
+The recurrent network is trained by truncated backpropagation on every training text. The texts are
+dealt over rounds, more of them the more tokens there are. In a round one task for each core learns
+from its part, from a common start; their weights are averaged in a tree, and the next round goes on
+from there. Words are looked up once: the rounds read their numbers. Scoring carries the state
+through a document's windows to its end.
 
 Counts of frequent words go along with the code; rows of rarer words meet their counts by a join.
 """
@@ -33,10 +33,12 @@ WORDS, CLASSES, ENDINGS = 4096, 64, 64
 #: Words whose counts all tasks hold.
 POPULAR = 65_536
 EMBEDDING, STATE = 24, 32
-#: Of so many training documents one is trained on; streams and steps of a training window.
-SHARE, STREAMS, WINDOW = 8, 64, 20
+#: Streams and steps of a training window.
+STREAMS, WINDOW = 64, 20
 #: Slopes far below ``CALM`` hardly move a weight: few tokens say little about a rare word.
-RATE, ROUNDS, MERGED, CALM = 4e-3, 2, 8, 1e-4
+RATE, MERGED, CALM = 4e-3, 8, 1e-4
+#: Rounds at least; further ones are the cube root of how often so many tokens are there.
+ROUNDS, ROUND_TOKENS = 2, 500_000
 #: Tokens scored together, at least; a longer document is whole.
 TOGETHER = 800_000
 #: States that are turned into predictions at once, at least.
@@ -242,21 +244,24 @@ def predictions(p: dict, h: np.ndarray, number: np.ndarray, grad: dict | None =
 
 
 def train(flat: np.ndarray, numbers: np.ndarray) -> np.ndarray:
-    """Weights after one pass over the tokens: truncated backpropagation with Adam."""
+    """Weights after one pass over all the tokens: truncated backpropagation with Adam."""
     flat = flat.copy()
     p = views(flat)
     grad_flat = np.zeros_like(flat)
     grad = views(grad_flat)
     m, v = np.zeros_like(flat), np.zeros_like(flat)
     streams = min(STREAMS, max(1, len(numbers) // WINDOW))
-    length = len(numbers) // streams
-    if length < 2:
-        return flat
-    rows = numbers[: streams * length].reshape(streams, length)
+    # Where the tokens cannot be dealt evenly, some streams end one place before the others.
+    bounds = len(numbers) * np.arange(streams + 1) // streams
+    length = -(-len(numbers) // streams)
+    places = bounds[:-1, None] + np.arange(length)
+    there = places < bounds[1:, None]
+    rows = np.where(there, numbers[np.minimum(places, len(numbers) - 1)], 0) if len(numbers) else places
     h = np.zeros((streams, STATE), np.float32)
     last = np.zeros(streams, np.int64)
     for n, at in enumerate(range(0, length, WINDOW), 1):
         target = rows[:, at : at + WINDOW]
+        own = there[:, at : at + WINDOW].reshape(-1)
         inputs = np.concatenate((last[:, None], target[:, :-1]), axis=1)
         last = target[:, -1]
         t = target.shape[1]
@@ -271,7 +276,8 @@ def train(flat: np.ndarray, numbers: np.ndarray) -> np.ndarray:
             kept.append((before, r, z, candidate, part, fresh, h))
         states = np.stack([k[6] for k in kept], axis=1).reshape(-1, STATE)
         grad_flat[:] = 0
-        _, back = predictions(p, states, target.reshape(-1), grad)
+        back = np.zeros_like(states)
+        _, back[own] = predictions(p, states[own], target.reshape(-1)[own], grad)
         back = back.reshape(streams, t, STATE)
         carry = np.zeros((streams, STATE), np.float32)
         dx = np.zeros((streams, t, 3 * STATE), np.float32)
@@ -289,7 +295,7 @@ def train(flat: np.ndarray, numbers: np.ndarray) -> np.ndarray:
         grad["w"] += p["embedding"][inputs.reshape(-1)].T @ flat_x
         grad["b"] += flat_x.sum(axis=0)
         np.add.at(grad["embedding"], inputs.reshape(-1), flat_x @ p["w"].T)
-        grad_flat /= target.size
+        grad_flat /= own.sum()
         norm = np.linalg.norm(grad_flat)
         if norm > 1:
             grad_flat /= norm
@@ -299,24 +305,45 @@ def train(flat: np.ndarray, numbers: np.ndarray) -> np.ndarray:
     return flat
 
 
+def numbered(texts: DataFrame, v: Vocabulary, rounds: int) -> DataFrame:
+    """round, numbers: the word numbers of each text, two bytes each, and the round that learns from it."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "text"):
+            hashes, ending, off = tokens(batch)
+            raw = v.numbered(hashes, ending).astype("<u2").tobytes()
+            cells = [raw[2 * a : 2 * z] for a, z in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
+            yield pa.record_batch([batch.column("round"), pa.array(cells, pa.binary())], ["round", "numbers"])
+
+    part = F.pmod(F.xxhash64("key", F.lit("network")), F.lit(rounds)).cast("int").alias("round")
+    return texts.select(part, "text").mapInArrow(run, "round int, numbers binary")
+
+
+def rounds_of(tokens_: int) -> int:
+    return ROUNDS + int((tokens_ / ROUND_TOKENS) ** (1 / 3))
+
+
 def trained(texts: DataFrame, v: Vocabulary) -> np.ndarray:
     """Weights averaged over what tasks have learned from their texts, each with its number of tokens."""
     flat = start(v)
-    part = F.pmod(F.xxhash64("key", F.lit("network")), F.lit(SHARE * ROUNDS))
-    for turn in range(ROUNDS):
+    rounds = rounds_of(v.total)
+    # In order of the rounds, so that each of them skips what others read.
+    every = stored(numbered(texts, v, rounds).sortWithinPartitions("round"))
+    tasks = texts.sparkSession.sparkContext.defaultParallelism
+    for turn in range(rounds):
         begin = flat
 
         def learn(batches: Iterable[pa.RecordBatch], begin: np.ndarray = begin) -> Iterator[pa.RecordBatch]:
-            numbers, now, seen = [], begin, 0
-            for batch in pieces(batches, "text"):
-                numbers.append(v.numbered(*tokens(batch)[:2]))
-                if sum(map(len, numbers)) > TOGETHER:
-                    seen += sum(map(len, numbers))
-                    now = train(now, np.concatenate(numbers))
-                    numbers = []
-            if numbers:
-                seen += sum(map(len, numbers))
-                now = train(now, np.concatenate(numbers))
+            held, now, waiting, seen = [], begin, 0, 0
+            for batch in batches:
+                for cell in batch.column("numbers"):
+                    held.append(np.frombuffer(cell.as_buffer(), "<u2"))
+                    waiting += len(held[-1])
+                    if waiting > TOGETHER:
+                        now, seen = train(now, np.concatenate(held).astype(np.int64)), seen + waiting
+                        held, waiting = [], 0
+            if held:
+                now, seen = train(now, np.concatenate(held).astype(np.int64)), seen + waiting
             if seen:
                 yield row(now, seen)
 
@@ -331,7 +358,7 @@ def trained(texts: DataFrame, v: Vocabulary) -> np.ndarray:
             n = rows.column("n").to_pylist()
             return pa.Table.from_batches([row(mean(list(zip(n, rows.column("weights").to_pylist(), strict=True))), sum(n))])
 
-        sums = stored(texts.where(part == turn).select("text").mapInArrow(learn, "n long, weights binary"))
+        sums = stored(every.where(F.col("round") == turn).select("numbers").coalesce(tasks).mapInArrow(learn, "n long, weights binary"))
         while (count := sums.count()) > MERGED:
             groups = -(-count // MERGED)
             sums = stored(sums.groupBy(F.pmod(F.xxhash64("n", "weights"), F.lit(groups))).applyInArrow(add, "n long, weights binary"))

@@ -225,6 +225,27 @@ def test_training_follows_the_slope_and_learns():
     assert both[1] == pytest.approx(total, rel=1e-4)
 
 
+def test_training_keeps_the_last_tokens():
+    # 63 tokens more than the streams hold evenly; only the very last one is of its class.
+    numbers = np.tile(np.array([0, 5, 900, 17]), 400)[:1343]
+    numbers[-1] = 4000
+    begin = lm.start(small_vocabulary())
+    before, after = (lm.views(w)["word_b"][lm.class_of(4000)] for w in (begin, lm.train(begin, numbers)))
+    assert after[4000 % (lm.WORDS // lm.CLASSES)] > before[4000 % (lm.WORDS // lm.CLASSES)]
+    for n in (0, 1, 2, 65):
+        assert np.isfinite(lm.train(begin, numbers[:n])).all()
+    assert not np.array_equal(lm.train(begin, numbers[:1]), begin)
+
+
+def test_the_network_learns_from_every_training_document(spark):
+    docs = spark.createDataFrame([(i, f"w{i} w{i} w{i}") for i in range(400)], "key long, text string").repartition(3)
+    v = lm.vocabulary(lm.word_counts(docs.select("text")))
+    before, after = (lm.views(w)["embedding"] for w in (lm.start(v), lm.trained(docs, v)))
+    words = np.arange(1, 401)
+    assert (before[words] != after[words]).any(axis=1).all()
+    assert lm.rounds_of(10**5) < lm.rounds_of(10**8) < lm.rounds_of(10**10)
+
+
 def test_scores_of_odd_rows(odd_docs, no_docs):
     got = lm.scored(odd_docs).toPandas()
     assert len(got) == odd_docs.count() and (got.score < 0).all()
