@@ -38,6 +38,8 @@ GRAM = 24
 PART = 1 << 20
 #: Keys that a task sorts at a time, keys of a range, and ranges at most.
 RUN, RANGE, RANGES = 150_000, 60_000, 20_000
+#: Keys sampled for each range, and spans that a task collects before it joins those that touch.
+SAMPLED, JOINED = 64, 100_000
 
 SPANS = "array<struct<start:bigint,stop:bigint>>"
 
@@ -222,11 +224,23 @@ def joined_spans(spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]
     return [tuple(s) for s in out]
 
 
+class Spans(list):
+    """Spans that are joined whenever they have doubled: one document gives one for each start."""
+
+    limit = 0
+
+    def append(self, span: tuple[int, int, int]) -> None:
+        super().append(span)
+        if len(self) > max(self.limit, JOINED):
+            self[:] = joined_spans(self)
+            self.limit = 2 * len(self)
+
+
 def sorted_run(entries: list[tuple], splitters: list[bytes], span: int) -> Iterator[pa.RecordBatch]:
     """A task's entries (key, doc, place, low, high) as runs for each range, and repeats within them."""
     entries.sort()
     parts: dict[int, tuple[list[bytes], list[tuple]]] = {}
-    spans, last = [], None
+    spans, last = Spans(), None
     for key, doc, place, low, high in entries:
         if key == last:
             if (doc, place) != at:
@@ -268,10 +282,11 @@ def place_entries(batches: Iterable[pa.RecordBatch], span: int, one_in: int = 0)
             i, j = np.searchsorted(t.row, (r, r + 1))
             wanted = batch.column("grams")[r].values.to_numpy().view(np.uint64)
             keep = np.isin(t.gram[i:j], wanted)
+            base = int(t.off[r])
             if one_in:
-                keep &= mix(t.gram[i:j]) % np.uint64(one_in) == 0
+                # By document and place: a gram that many documents share is drawn as often as it occurs.
+                keep &= mix(mix(np.array([docs[r]], np.int64).view(np.uint64)) + (t.place[i:j] - base).astype(np.uint64)) % np.uint64(one_in) == 0
             keep = np.flatnonzero(keep) + i
-            base = int(t.off[r])
             for p, a, z in zip(t.place[keep].tolist(), t.low[keep].tolist(), t.high[keep].tolist(), strict=True):
                 right, left = raw[p : z + span], raw[a:p][::-1]
                 yield right + left + bytes((len(left), len(right))), docs[r], p - base, p - a, p - z
@@ -336,7 +351,7 @@ def looked_at(group: list[tuple[int, bytes, tuple]], span: int, spans: list[tupl
 
 def first_round(span: int) -> Callable[[pa.Table], pa.Table]:
     def run(rows: pa.Table) -> pa.Table:
-        spans: list[tuple[int, int, int]] = []
+        spans = Spans()
         strings: list[tuple[bytes, int, int]] = []
         group: list[tuple[int, bytes, tuple]] = []
         first = True
@@ -355,7 +370,7 @@ def first_round(span: int) -> Callable[[pa.Table], pa.Table]:
 
 def second_round(span: int) -> Callable[[pa.Table], pa.Table]:
     def run(rows: pa.Table) -> pa.Table:
-        spans: list[tuple[int, int, int]] = []
+        spans = Spans()
         for _ in distinct(merge_range(rows), span, spans):
             pass
         return found(spans, [])
@@ -377,11 +392,23 @@ def found(spans: list[tuple[int, int, int]], strings: list[tuple[bytes, int, int
 
 
 def splitters(keys: DataFrame, ranges: int) -> list[bytes]:
-    """Keys that cut all keys into about equal ranges, from a sample."""
-    sample = sorted(set(keys.toArrow().column("key").to_pylist()))
+    """Keys that cut all keys into ranges of about equally many places, from a sample of places."""
+    sample = sorted(keys.toArrow().column("key").to_pylist())
     return sorted({sample[len(sample) * i // ranges] for i in range(1, ranges)}) if sample else []
 
 
+def range_cuts(suspects: DataFrame, places: int, span: int) -> list[bytes]:
+    """Splitters of the keys of all ``places``."""
+    ranges = max(1, min(RANGES, places // RANGE))
+    one_in = max(1, places // (SAMPLED * ranges))
+
+    def sample(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = [e[0] for e in place_entries(batches, span, one_in)]
+        yield pa.record_batch([pa.array(keys, pa.binary())], ["key"])
+
+    return splitters(suspects.mapInArrow(sample, "key binary"), ranges) if ranges > 1 else []
+
+
 def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int = SPAN) -> DataFrame:
     """doc_id and spans (bytes) of each document that holds strings of ``span`` bytes that also start earlier.
 
@@ -395,18 +422,11 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", span: i
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id IS NOT NULL")
     counts = gram_counts(rows, span)
     often = counts.groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1").select("gram")
-    held = stored(counts.select("gram", "doc_id").join(often, "gram").groupBy("doc_id").agg(F.collect_set("gram").alias("grams")))
-    n = held.agg(F.coalesce(F.sum(F.size("grams")), F.lit(0)).alias("n")).first().n
+    held = stored(counts.join(often, "gram").groupBy("doc_id").agg(F.collect_set("gram").alias("grams"), F.sum("n").alias("places")))
+    n = held.agg(F.coalesce(F.sum("places"), F.lit(0)).alias("n")).first().n
     # Read twice, for the splitters and for the runs.
-    suspects = stored(of_ids(rows, held, "doc_id", "left_semi").join(held, "doc_id"))
-    ranges = max(1, min(RANGES, n // RANGE))
-    one_in = max(1, n // (64 * ranges))
-
-    def sample(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = sorted({e[0][:SPAN] for e in place_entries(batches, span, one_in)})
-        yield pa.record_batch([pa.array(keys, pa.binary())], ["key"])
-
-    cuts = splitters(suspects.mapInArrow(sample, "key binary"), ranges) if ranges > 1 else []
+    suspects = stored(of_ids(rows, held, "doc_id", "left_semi").join(held.drop("places"), "doc_id"))
+    cuts = range_cuts(suspects, n, span)
 
     def sort(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from batches_of_runs(place_entries(batches, span), cuts, span)
@@ -417,7 +437,7 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", span: i
     open_ = one.where("key IS NOT NULL")
     left = open_.count()
     ranges = max(1, min(RANGES, left // RANGE))
-    share = F.pmod(F.xxhash64("key"), F.lit(max(1, left // (64 * ranges)))) == 0
+    share = F.pmod(F.xxhash64("key", "doc_id", "start"), F.lit(max(1, left // (SAMPLED * ranges)))) == 0
     second = splitters(open_.where(share).select("key"), ranges) if ranges > 1 else []
 
     def sort_strings(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -4,7 +4,9 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from anteframe.llm import _graph, embedding_dedup, minhash, suffix_dedup
 from anteframe.llm.queries import QUERIES
@@ -144,6 +146,34 @@ def test_repeated_passages(spark, monkeypatch, size, part):
     assert got == brute_repeats(texts)
 
 
+def test_a_hot_gram_spreads_over_ranges(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "RANGE", 1280)
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    passage = "".join(rng.choices(letters, k=110))
+    texts = {i: "".join(rng.choices(letters, k=90)) + passage + "".join(rng.choices(letters, k=90)) for i in range(6000)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    t = suffix_dedup.Texts(pa.record_batch([pa.array([*texts.values()])], ["text"]), suffix_dedup.SPAN)
+    grams, n = np.unique(t.gram, return_counts=True)
+    hot = grams[n > 1].view(np.int64).tolist()
+    cuts = suffix_dedup.range_cuts(docs.withColumn("grams", F.array(*map(F.lit, hot))), int(n[n > 1].sum()), suffix_dedup.SPAN)
+    first = t.place[t.gram == grams[n.argmax()]][0]
+    gram = t.data[first : first + suffix_dedup.GRAM].tobytes()
+    assert sum(c.startswith(gram) for c in cuts) >= 3
+    got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.digest(suffix_dedup.deduplicated(docs)).collect()}
+    assert got == brute_repeats(texts)
+
+
+def test_spans_are_joined_as_they_come(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "JOINED", 50)
+    spans, most = suffix_dedup.Spans(), 0
+    for x in range(77):
+        for doc in range(40):
+            spans.append((doc, x, x + 100))
+            most = max(most, len(spans))
+    assert most <= 81 and suffix_dedup.joined_spans(spans) == [(doc, 0, 176) for doc in range(40)]
+
+
 def test_texts_longer_than_a_part(spark):
     rng = random.Random(9)
     base = "".join(rng.choices("abcdefgh ", k=1_300_000))
