@@ -101,6 +101,13 @@ def window_hash(data: np.ndarray, size: int) -> np.ndarray:
     return mix((sums[size:] - sums[:-size]) * down[: len(data) - size + 1])
 
 
+def previous(codes: np.ndarray, off: np.ndarray, blank: int) -> np.ndarray:
+    """The code before each place, ``blank`` at the first place of each text."""
+    out = np.concatenate(([blank], codes[:-1]))
+    out[off[:-1][np.diff(off) > 0]] = blank
+    return out
+
+
 class Words:
     """The words of a run of texts: spans of bytes, a hash each, and where each text's words begin."""
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ._sample import draw, held_out, label_counts
 from ._store import ready
-from ._text import LOWER, pieces, text_bytes
+from ._text import LOWER, pieces, previous, text_bytes
 
 #: Documents of each language that are learned from, and of all languages together.
 SAMPLE, SAMPLE_ALL = 1500, 24_000
@@ -35,9 +35,9 @@ def ngrams(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     n = len(off) - 1
     row = np.repeat(np.arange(n), np.diff(off)) * TERMS
     code = _LETTER[data]
-    last = np.concatenate(([0x20], code[:-1]))
+    last = previous(code, off, 0x20)
     two = code + 256 * last
-    three = two + 65536 * np.concatenate(([0x20], last[:-1]))
+    three = two + 65536 * previous(last, off, 0x20)
     out = np.bincount(row + ((two * 2654435761 >> 9) % TERMS), minlength=n * TERMS)
     out += np.bincount(row + ((three * 2246822519 >> 9) % TERMS), minlength=n * TERMS)
     out = np.log1p(out.reshape(n, TERMS).astype(np.float32))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ._sample import labelled
 from ._store import ready
-from ._text import BLANKS, LOWER, Words, pieces, text_bytes
+from ._text import BLANKS, LOWER, Words, pieces, previous, text_bytes
 
 #: Labelled documents of each label that are learned from.
 SAMPLE = 3000
@@ -37,10 +37,10 @@ for _at, _c in enumerate("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"):
     _KIND[ord(_c)] = 6 + _at
 
 
-def trigrams(codes: np.ndarray, base: int, size: int) -> np.ndarray:
-    """A term for each place: this code and the two before it, in the same run of texts."""
-    last = np.concatenate(([0], codes[:-1]))
-    return ((codes + base * (last + base * np.concatenate(([0], last[:-1])))) * 2654435761 >> 12) % size
+def trigrams(codes: np.ndarray, off: np.ndarray, base: int, size: int) -> np.ndarray:
+    """A term for each place: this code and the two before it, in the same text."""
+    last = previous(codes, off, 0)
+    return ((codes + base * (last + base * previous(last, off, 0))) * 2654435761 >> 12) % size
 
 
 def term_counts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -48,9 +48,9 @@ def term_counts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     n = len(off) - 1
     row = np.repeat(np.arange(n), np.diff(off))
     out = np.zeros((n, TERMS), np.float32)
-    letters = row * LETTER_TERMS + trigrams(LOWER[data].astype(np.int64), 256, LETTER_TERMS)
+    letters = row * LETTER_TERMS + trigrams(LOWER[data].astype(np.int64), off, 256, LETTER_TERMS)
     out[:, :LETTER_TERMS] = np.bincount(letters, minlength=n * LETTER_TERMS).reshape(n, -1)
-    kinds = row * KIND_TERMS + trigrams(_KIND[data], 40, KIND_TERMS)
+    kinds = row * KIND_TERMS + trigrams(_KIND[data], off, 40, KIND_TERMS)
     out[:, LETTER_TERMS:-3] = np.bincount(kinds, minlength=n * KIND_TERMS).reshape(n, -1)
     words = Words(data, off, BLANKS)
     of = np.repeat(np.arange(n), words.counts)

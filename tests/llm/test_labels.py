@@ -1,9 +1,11 @@
 """Quality, language and toxicity: held-out accuracy, and rows of every odd kind."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from anteframe.llm import langid, quality, queries, toxicity
+from anteframe.llm._text import text_bytes
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -108,3 +110,15 @@ def test_nothing_to_learn_from(docs, labels, no_docs):
     assert set(langid.predicted(few, langid.fit(no_docs)).toPandas().lang_pred) == {"und"}
     one = labels.where("quality = 1")
     assert (quality.scored(few, quality.fit(docs, one)).toPandas().predicted == 1).all()
+
+
+def test_short_texts_have_their_own_features():
+    texts = ["", "a", "ab", "Zug 7", "ab", "x" * 40, "a", ""]
+
+    def rows(of, cells):
+        return of(*text_bytes(pa.array(cells, pa.string())))
+
+    for of in (langid.ngrams, quality.term_counts):
+        together = rows(of, texts)
+        for i, t in enumerate(texts):
+            assert np.array_equal(together[i], rows(of, [t])[0])
