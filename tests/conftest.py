@@ -24,8 +24,3 @@ def spark():
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()
-
-
-def rows(df):
-    """Rows as sorted tuples."""
-    return sorted((tuple(r) for r in df.collect()), key=repr)

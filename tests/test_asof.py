@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from anteframe.operators import asof, history
-from conftest import rows
+from helpers import rows
 
 T0 = dt.datetime(2024, 1, 10, 12)
 HOUR = dt.timedelta(hours=1)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from anteframe import vocab
 from anteframe.functions import codes, numbers, ranges, text, times
 from anteframe.plans import labs
-from conftest import rows
+from helpers import rows
 
 
 def values(spark, kind, given, fn):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from anteframe.operators import aggregate, dedup, features, joins, prefix, sets
 from anteframe.plans import profiles
-from conftest import rows
+from helpers import rows
 
 
 def greedy_prefix(code, rules):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from anteframe import vocab
 from anteframe.plans import cohort, labs, profiles, training
 from anteframe.sources import clinic
-from conftest import rows
+from helpers import rows
 
 
 def at(s):

@@ -2,7 +2,7 @@ import pytest
 
 from anteframe.sources import clinic, delimited, tables
 from anteframe.sources.delimited import COMMA, FREE_TEXT, Format
-from conftest import rows
+from helpers import rows
 
 
 @pytest.fixture
