@@ -17,9 +17,11 @@ BROADCAST_IDS = 1_000_000
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; where unset, as in tests, a local one is made."""
+    """The folder in ``spark.checkpoint.dir``; where unset, a local one is made if all runs on one machine."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         found = tempfile.mkdtemp(prefix="anteframe-")
         spark.sparkContext.setCheckpointDir(found)
     return found

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, embedding_dedup, langid, lm, minhash, packing, quality, suffix_dedup, token_output, toxicity
+from . import decontaminate, embedding_dedup, hard_negatives, langid, lm, merkle, minhash, packing, quality, rule_forest, suffix_dedup, token_output, toxicity
 from ._sample import held_out
 from ._store import shared_folder
 
@@ -97,3 +97,71 @@ def op6_suffix_runs(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_recurrent_lm(spark: SparkSession, folder: str) -> DataFrame:
     return lm.scored(table(spark, folder, "documents"))
+
+
+@query
+def op11_rule_forest(spark: SparkSession, folder: str) -> DataFrame:
+    return rule_forest.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.manifest(table(spark, folder, "documents"))
+
+
+def _merkle_sql(levels: int = 8) -> str:
+    """Level by level; more levels than a tree has leave it as it is. ``levels``: up to 16 ** levels leaves."""
+    cell = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen({0}::VARCHAR) || ':' || {0}::VARCHAR END".format
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+    def leaf(text: str) -> str:
+        return f"sha256({' || '.join(map(cell, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+
+    bits = "flatten(list_transform(str_split(doc_id::VARCHAR, ''), lambda c: list_transform(range(8), lambda i: (ascii(c)::BIGINT >> i) & 1)))"
+    crc = f"xor(list_reduce(list_prepend(4294967295, {bits}), lambda a, b: xor(a >> 1, CASE WHEN xor(a, b) & 1 = 1 THEN 3988292384 ELSE 0 END)), 4294967295)"
+    steps = [
+        f"""d AS (SELECT *, {leaf('text')} AS leaf, CASE WHEN {crc} % 5 = 0 THEN {leaf(lower)} ELSE {leaf('text')} END AS changed FROM documents)""",
+        """a0 AS (SELECT source, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS i, count(*) OVER (PARTITION BY source) AS n, leaf AS h FROM d)""",
+        """f0 AS (SELECT doc_id, leaf, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS i, changed AS fold, '' AS proof FROM d)""",
+    ]
+
+    def climb(a: str, f: str, levels: int) -> None:
+        for k in range(levels):
+            steps.append(f"""{a}{k + 1} AS (SELECT source, i // CASE WHEN n > 1 THEN 16 ELSE 1 END AS i, max((n + CASE WHEN n > 1 THEN 15 ELSE 0 END) // CASE WHEN n > 1 THEN 16 ELSE 1 END) AS n,
+                CASE WHEN max(n) > 1 THEN sha256(string_agg(h, '' ORDER BY i)) ELSE max(h) END AS h, list(h ORDER BY i) AS run, max(n) AS below
+                FROM {a}{k} GROUP BY 1, {a}{k}.i // CASE WHEN n > 1 THEN 16 ELSE 1 END)""")
+            steps.append(f"""{f}{k + 1} AS (SELECT doc_id, leaf, f.source, a.i,
+                CASE WHEN below = 1 THEN fold ELSE sha256(array_to_string(run[:f.i % 16], '') || fold || array_to_string(run[f.i % 16 + 2:], '')) END AS fold,
+                CASE WHEN below = 1 THEN proof ELSE proof || array_to_string(run[:f.i % 16], '') || array_to_string(run[f.i % 16 + 2:], '') END AS proof
+                FROM {f}{k} f JOIN {a}{k + 1} a ON f.source IS NOT DISTINCT FROM a.source AND a.i = CASE WHEN below = 1 THEN f.i ELSE f.i // 16 END)""")
+
+    climb("a", "f", levels)
+    steps.append(f"s AS (SELECT source AS name, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i FROM a{levels})")
+    steps.append("b0 AS (SELECT NULL::VARCHAR AS source, i, count(*) OVER () AS n, subroot AS h FROM s)")
+    steps.append(f"g0 AS (SELECT {{'id': doc_id, 'subroot': subroot}} AS doc_id, leaf, NULL::VARCHAR AS source, s.i, fold, proof FROM f{levels} f JOIN s ON f.source IS NOT DISTINCT FROM s.name)")
+    climb("b", "g", levels)
+    return f"""WITH {', '.join(steps)}
+SELECT doc_id.id AS doc_id, leaf, doc_id.subroot AS subroot, h AS root, sha256(proof) AS proof_sha256, fold AS folded_root, fold = h AS verified
+FROM g{levels}, (SELECT h FROM b{levels})"""
+
+
+ORACLES["op12_merkle_manifest"] = _merkle_sql()
+
+
+@query
+def op13_range_tree_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.mined(table(spark, folder, "embeddings"))
+
+
+ORACLES["op13_range_tree_negatives"] = """
+WITH v AS (SELECT vec_id::BIGINT AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(x::DOUBLE * 256)) AS x
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.id AS anchor, b.id AS id, a.label = b.label AS same, list_dot_product(a.x, b.x)::BIGINT AS score
+      FROM v a JOIN v b ON a.id % 100 = 0 AND a.id <> b.id),
+p AS (SELECT anchor, id AS positive, score AS top FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) <= 5)
+SELECT anchor AS anchor_id, positive AS positive_id, (row_number() OVER (PARTITION BY anchor, positive ORDER BY score DESC, id))::INT AS rank,
+       id AS negative_id, top AS positive_score, score AS negative_score
+FROM p JOIN s USING (anchor) WHERE NOT same AND 80 * top <= 100 * score AND score <= top
+QUALIFY rank <= 5"""
