@@ -253,7 +253,14 @@ def judged(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     return scored.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & (F.col("score") < model.threshold))
 
 
-def accepted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, keep: float = KEEP) -> DataFrame:
-    """The documents that are kept, with their own columns. A row without doc_id is judged like any other."""
-    verdict = judged(docs, labels, sample=sample, keep=keep).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(verdict, docs["doc_id"].eqNullSafe(F.col("_kept_id")), "left_semi")
+def accepted(docs: DataFrame, labels: DataFrame, text: str = "text", sample: int = SAMPLE, keep: float = KEEP) -> DataFrame:
+    """The documents that are kept, with their own columns. Each row is judged by its own text."""
+    model = fit(stored(measured(docs, text=text)), labels, sample=sample, keep=keep)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, text):
+            counts, rates = statistics(*text_bytes(batch.column(text)))
+            failed = (counts[:, 0] < 50) | (100 * counts[:, 4] > 50 * counts[:, 0])
+            yield batch.filter(pa.array(~failed & (model.forest.score(rates) < model.threshold)))
+
+    return docs.mapInArrow(run, docs.schema)

