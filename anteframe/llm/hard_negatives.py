@@ -30,9 +30,9 @@ from pyspark.sql.window import Window as W
 from ._store import batches_of, ready, stored
 from ._text import mix
 
-FAN = 16
+FAN = 8
 #: Levels of the tree at most, rows of which it is grown, and rows of a block and of a slice of asks.
-DEPTH, SAMPLE, BLOCK, SLICE = 3, 16_384, 2048, 512
+DEPTH, SAMPLE, BLOCK, SLICE = 4, 16_384, 2048, 512
 #: Squared lengths above this are left out, so that every score fits a long; below EXACT doubles are exact.
 LONGEST, EXACT = 1 << 60, 1 << 53
 LOW, HIGH = -(1 << 62), 1 << 62
@@ -188,7 +188,7 @@ def indexed(rows: DataFrame, tree: Tree) -> tuple[DataFrame, DataFrame, dict[tup
 
 
 #: What is asked: rows with (``same``) or without the anchor's label and a score from ``least`` to ``most``.
-ASK = ["anchor_id", "label", "positive_id", "positive_score", "same", "least", "most"]
+ASK = ["anchor_id", "label", "positive_id", "positive_score", "same", "least", "most", "leaf"]
 ASKS = ", ".join(f"{c} long" for c in ASK)
 
 
@@ -223,16 +223,25 @@ class Asks:
         return (closest <= far) & (farthest >= near)
 
 
-def sliced(asks: DataFrame, width: int) -> DataFrame:
-    """Asks of anchors of one leaf in packs of about ``SLICE``: leaf, fields, vecs."""
+def sliced(asks: DataFrame, width: int, own: bool) -> DataFrame:
+    """Asks in packs of about ``SLICE``: leaf (of all in it if ``own``), fields, vecs.
+
+    For their own leaf they are packed by it; for all others anyhow, as each ask is followed by itself.
+    """
 
     def pack(key: tuple, group: pa.Table) -> pa.Table:
         fields = np.stack([group.column(c).to_numpy() for c in ASK], 1)
-        return pa.table([[key[0].as_py()], *([c] for c in Asks(fields, rows_of(group, "vec", width)).write())], ["leaf", "fields", "vecs"])
+        return pa.table([[key[0].as_py()], *([c] for c in Asks(fields, rows_of(group, "vec", width)).write())], ["to", "fields", "vecs"])
 
-    many = asks.groupBy("leaf").agg(F.ceil(F.count("*") / SLICE).alias("slices"))
-    dealt = asks.join(many, "leaf").withColumn("slice", F.pmod(F.xxhash64("anchor_id"), F.col("slices")))
-    return dealt.select("leaf", "slice", *ASK, "vec").groupBy("leaf", "slice").applyInArrow(pack, "leaf long, fields binary, vecs binary")
+    at = F.xxhash64("anchor_id")
+    if own:
+        many = asks.groupBy("leaf").agg(F.ceil(F.count("*") / SLICE).alias("slices"))
+        dealt = asks.join(many, "leaf").withColumns({"to": F.col("leaf"), "slice": F.pmod(at, F.col("slices"))})
+    else:
+        dealt = asks.withColumns({"to": F.lit(-1).cast("long"), "slice": F.pmod(at, F.lit(asks.count() // SLICE + 1))})
+    packs = dealt.select("to", "slice", *ASK, "vec").groupBy("to", "slice").applyInArrow(pack, "to long, fields binary, vecs binary")
+    # Few bytes, much work: they are not to be put together in few tasks.
+    return packs.repartition(int(asks.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def search(slices: DataFrame, blocks: DataFrame, tree: Tree, ranges: dict, take: int, own: bool) -> DataFrame:
@@ -257,10 +266,11 @@ def search(slices: DataFrame, blocks: DataFrame, tree: Tree, ranges: dict, take:
 
     def descend(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for leaf, fields, vecs in zip(*(batch.column(c).to_pylist() for c in ("leaf", "fields", "vecs")), strict=True):
+            for leaf, fields, vecs in zip(*(batch.column(c).to_pylist() for c in ("to", "fields", "vecs")), strict=True):
                 asks = Asks.read(fields, vecs, width)
                 for to, met in [(leaf, asks)] if own else below(asks, 0, 0):
-                    if own or to != leaf:
+                    met = met if own else met.of(met.fields[:, 7] != to)
+                    if len(met.fields):
                         yield pa.record_batch([[to], *([c] for c in met.write())], ["leaf", "fields", "vecs"])
 
     def narrow(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,8 +291,9 @@ def search(slices: DataFrame, blocks: DataFrame, tree: Tree, ranges: dict, take:
                 order = np.argsort(ids, kind="stable")  # ties: the smaller id first
                 ids, labels, x = ids[order], labels[order], x[order]
                 kind = float if tree.square < EXACT else np.int64
-                scores = (asks.x.astype(kind) @ x.astype(kind).T).astype(np.int64)
                 f = asks.fields
+                _, first, of = np.unique(f[:, 0], return_index=True, return_inverse=True)
+                scores = (asks.x[first].astype(kind) @ x.astype(kind).T).astype(np.int64)[of]
                 fit = ((labels == f[:, 1:2]) == (f[:, 4:5] == 1)) & (ids != f[:, :1]) & (scores >= f[:, 5:6]) & (scores <= f[:, 6:7])
                 scores[~fit] = LOW - 1
                 if scores.shape[1] > take:
@@ -312,10 +323,10 @@ def best(found: DataFrame, take: int) -> DataFrame:
 
 def answered(asks: DataFrame, blocks: DataFrame, tree: Tree, ranges: dict, take: int) -> DataFrame:
     """The first ``take`` rows of each ask: own leaf first, then all leaves that can still matter."""
-    near = search(sliced(asks, tree.width), blocks, tree, ranges, take, own=True)
+    near = search(sliced(asks, tree.width, True), blocks, tree, ranges, take, own=True)
     limit = best(near, take).groupBy("anchor_id", "positive_id").agg(F.count("*").alias("n"), F.min("score").alias("limit")).where(F.col("n") == take)
     raised = asks.join(limit.drop("n"), ["anchor_id", "positive_id"], "left").withColumn("least", F.coalesce("limit", "least"))
-    rest = search(sliced(raised.select(*asks.columns), tree.width), blocks, tree, ranges, take, own=False)
+    rest = search(sliced(raised.select(*asks.columns), tree.width, False), blocks, tree, ranges, take, own=False)
     return best(near.unionByName(rest), take)
 
 

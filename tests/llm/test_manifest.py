@@ -239,7 +239,7 @@ def test_ranges_leave_out_what_cannot_matter():
     x = np.vstack([rng.normal(size=(200, 8)) * 5 + c for c in rng.normal(size=(12, 8)) * 400]).astype(np.int64)
     tree = hard_negatives.grow(x, len(x), float((x.astype(float) ** 2).sum(1).max()), 8)
     _, _, away, child = next(tree.route(x))
-    asks = hard_negatives.Asks(np.array([[0, 0, 0, 0, 1, (x[0] @ x[1]), (x[0] @ x[0])]], np.int64), x[:1])
+    asks = hard_negatives.Asks(np.array([[0, 0, 0, 0, 1, (x[0] @ x[1]), (x[0] @ x[0]), 0]], np.int64), x[:1])
     met = 0
     for c in np.unique(child):
         own = away[child == c]
