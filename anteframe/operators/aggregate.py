@@ -79,9 +79,12 @@ def histogram(df: DataFrame, value: str, bins: int = 100) -> DataFrame:
 
     The last bin includes its upper edge. Values are compared with the edges themselves, so a
     rounding error of the division cannot put a value into the neighbouring bin. Empty bins
-    are listed.
+    are listed. The input is read once: edges and bins both come from the counts of its distinct
+    values.
     """
-    v = df.select(col(value).cast("double").alias("_v")).where("_v IS NOT NULL")
+    # -0.0 is the same value as 0.0, and no key of its own.
+    v = df.select((col(value).cast("double") + F.lit(0.0)).alias("_v")).where("_v IS NOT NULL")
+    v = v.groupBy("_v").agg(F.count("*").alias("_n"))
     ends = v.agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"))
     flat = F.col("lo") == F.col("hi")
     ends = ends.select(
@@ -111,7 +114,7 @@ def histogram(df: DataFrame, value: str, bins: int = 100) -> DataFrame:
             .otherwise(F.col("_b")),
         )
         .groupBy("bin")
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum("_n").alias("n"))
     )
     return (
         spark.range(bins)

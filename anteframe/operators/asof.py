@@ -1,9 +1,11 @@
 """Facts seen from an anchor time: look-back joins, latest values, counts.
 
-Time is cut into chunks at least as fine as the look-back window, and every shuffle key holds
-the chunk next to the case. A case that owns a large part of all facts is so spread over its
-chunks. Latest values and counts come from one ordered pass per chunk, so their work grows with
-facts plus anchors, never with the pairs of both.
+Time is cut twice: into chunks about as long as the look-back window, and each window into
+``PARTS`` parts. Every shuffle key holds one of them next to the case, so neither a case nor a
+signal of a case, however dense, is one task. Facts are merged to one row per time and read once.
+What a part leaves behind (its last value, its number of facts) is a short list per chunk that
+gives what precedes an anchor's own part; an ordered pass through that part alone does the rest.
+Work grows with facts, anchors and what is found, never with the pairs of facts and anchors.
 """
 
 from __future__ import annotations
@@ -19,6 +21,13 @@ from ..functions.times import micros, minutes_between
 
 MICROS_PER_HOUR = 3_600_000_000
 
+#: Parts of a look-back window.
+PARTS = 64
+
+#: Bits of the filter of known cases, and bits that one case sets. With a hundred thousand known cases
+#: about 2 % of the facts of others get through; no fact of a known case is lost, however many there are.
+KNOWN_BITS, KNOWN_MARKS = 1 << 20, 3
+
 
 def _width(hours: float) -> int:
     return int(hours * MICROS_PER_HOUR)
@@ -29,6 +38,12 @@ def _chunk(at: Column, width: int) -> Column:
     return at - F.pmod(at, F.lit(width))
 
 
+def _part_of(at: Column, width: int) -> Column:
+    """``_chunk`` of a time that is known to be there, in a form that says so: no use of the merged
+    facts adds a null check of its own, and the uses stay one and the same exchange."""
+    return F.coalesce(_chunk(at, width), F.lit(0).cast("long"))
+
+
 def lookback_join(
     anchors: DataFrame,
     facts: DataFrame,
@@ -75,6 +90,39 @@ def keep_known_keys(
     return facts.withColumn("_part", part).join(known, [*keys, "_part"], "left_semi").drop("_part")
 
 
+def maybe_known(
+    facts: DataFrame, anchors: DataFrame, *, key: str | Sequence[str], bits: int = KNOWN_BITS
+) -> DataFrame:
+    """``facts`` without most of those whose case does not occur among the anchors.
+
+    A Bloom filter of ``bits`` bits, made once by one small aggregate. It is a plain condition, so
+    it moves down to each source of the facts, where a join would be planned once for every source.
+    Facts of a known case all stay; what else gets through is left to the join that follows.
+    """
+    keys = names(key)
+    spots = F.array(*[F.pmod(F.xxhash64(*map(col, keys), F.lit(i)), F.lit(bits)) for i in range(KNOWN_MARKS)])
+    word = F.shiftright("_b", 6).cast("int").alias("_i")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_b").bitwiseAND(63).cast("int"))
+    empty = anchors.sparkSession.range(bits // 64).select(F.col("id").cast("int").alias("_i"), F.lit(0).cast("long").alias("_w"))
+    marks = anchors.select(F.explode(spots).alias("_b")).groupBy(word).agg(F.bit_or(bit).alias("_w"))
+    words = (
+        marks.unionByName(empty)
+        .groupBy("_i")
+        .agg(F.bit_or("_w").alias("_w"))
+        .agg(F.transform(F.sort_array(F.collect_list(F.struct("_i", "_w"))), lambda x: x["_w"]))
+        .scalar()
+    )
+
+    def is_set(b: Column) -> Column:
+        place = b.bitwiseAND(63).cast("int")
+        return F.call_function("shiftright", F.get(words, F.shiftright(b, 6).cast("int")), place).bitwiseAND(1) == 1
+
+    found = F.lit(True)
+    for i in range(KNOWN_MARKS):
+        found = found & is_set(F.pmod(F.xxhash64(*map(col, keys), F.lit(i)), F.lit(bits)))
+    return facts.where(found)
+
+
 def latest_per_dimension(
     anchors: DataFrame,
     facts: DataFrame,
@@ -93,64 +141,73 @@ def latest_per_dimension(
 
     Columns: keys, ``anchor_ts``, ``dim``, ``value``, ``fact_ts``, ``minutes_before``. Facts of
     one case, dimension and time: the one with the greatest ``tiebreak`` wins, without it the
-    greatest value.
-
-    ``dims`` restricts the dimensions; the facts are then read only once. ``chunk_hours``
-    (default: twice ``hours``) may be lowered when one case and dimension has too many distinct
-    times in it; a fact is needed in each chunk that its window reaches.
+    greatest value. ``dims`` restricts the dimensions. An anchor meets only dimensions that its
+    case has in reach, listed or not. ``chunk_hours`` (default: twice ``hours``) is how much time
+    one list of last values covers.
     """
     keys, window = names(key), _width(hours)
-    width = _width(chunk_hours or 2 * hours)
+    width, part = _width(chunk_hours or 2 * hours), max(window // PARTS, 1)
 
     known = facts.where(all_present([*keys, dim, fact_ts]))
     if dims is not None:
         known = known.where(col(dim).isin(*dims))
-    reached = F.sequence(
-        _chunk(F.col("_at"), width), _chunk(F.col("_at") + window, width), F.lit(width)
-    )
-
     best = F.max_by(col(value), col(tiebreak)) if tiebreak else F.max(col(value))
     # One row per case, dimension and time: copies are merged before anything is moved.
-    line = (
-        known.groupBy(*map(col, [*keys, dim, fact_ts]))
-        .agg(best.alias("_value"))
-        .select(*map(col, keys), col(dim).alias("_dim"), col(fact_ts).alias("_ts"), "_value")
-        .withColumn("_at", micros(F.col("_ts")))
+    merged = known.groupBy(
+        *map(col, keys),
+        col(dim).alias("_dim"),
+        _part_of(micros(col(fact_ts)), part).alias("_part"),
+        col(fact_ts).alias("_ts"),
+    ).agg(best.alias("_value"))
+
+    # The last fact of each part, in lists of the parts that an anchor of the chunk can look back on.
+    reached = F.sequence(
+        _chunk(F.col("_part"), width), _chunk(F.col("_part") + part + window, width), F.lit(width)
+    )
+    lasts = (
+        merged.groupBy(*map(col, keys), "_dim", "_part")
+        .agg(F.max_by("_value", "_ts").alias("_value"), F.max("_ts").alias("_ts"))
         .withColumn("_chunk", F.explode(reached))
-        .withColumn("_probe", F.lit(False))
+        .groupBy(*map(col, keys), "_dim", "_chunk")
+        .agg(F.collect_list(F.struct("_part", "_ts", "_value")).alias("_lasts"))
     )
-    probes = (
+    points = (
         anchors.select(*map(col, keys), col(anchor_ts).alias("_anchor"))
         .where(all_present([*keys, "_anchor"]))
         .distinct()
         .withColumn("_at", micros(F.col("_anchor")))
-        .withColumn("_chunk", _chunk(F.col("_at"), width))
-        .withColumn("_probe", F.lit(True))
+        .withColumn("_part", _chunk(F.col("_at"), part))
     )
-    # An anchor is set against each listed dimension, or those that its case has in its chunk.
-    if dims is not None:
-        kind = facts.schema[dim].dataType
-        listed = F.array(*[F.lit(d).cast(kind) for d in dims])
-        probes = probes.withColumn("_dim", F.explode(listed))
-    else:
-        present = (
-            known.select(*map(col, keys), col(dim).alias("_dim"), micros(col(fact_ts)).alias("_at"))
-            .select(*map(col, keys), "_dim", F.explode(reached).alias("_chunk"))
-            .distinct()
-        )
-        probes = probes.join(present, [*keys, "_chunk"])
-    line = line.unionByName(probes, allowMissingColumns=True)
+    before = F.array_max(F.filter("_lasts", lambda x: x["_part"] < F.col("_part")))
+    own = F.exists("_lasts", lambda x: x["_part"] == F.col("_part"))
+    recent = F.col("_at") - micros(F.col("_before._ts")) <= window
+    probes = (
+        points.withColumn("_chunk", _chunk(F.col("_at"), width))
+        .join(lasts, [*keys, "_chunk"])
+        .withColumns({"_before": before, "_own": own})
+        .withColumn("_before", F.when(recent, F.col("_before")))
+        .where(F.col("_own") | F.col("_before").isNotNull())
+        .select(*map(col, keys), "_dim", "_part", "_at", "_anchor", "_before", F.lit(True).alias("_probe"))
+    )
+    # An inner join stays above the merging, so that both uses of the merged facts are one.
+    asked = points.select(*map(col, keys), "_part").distinct()
+    near = merged.join(asked, [*keys, "_part"]).withColumns(
+        {"_at": micros(F.col("_ts")), "_probe": F.lit(False)}
+    )
+    line = near.unionByName(probes, allowMissingColumns=True)
 
     # At equal times facts come before the anchor, so a fact at the anchor time counts.
     upto = (
-        W.partitionBy(*map(col, keys), "_dim", "_chunk")
+        W.partitionBy(*map(col, keys), "_dim", "_part")
         .orderBy("_at", "_probe")
         .rowsBetween(W.unboundedPreceding, W.currentRow)
     )
-    fact = F.when(~F.col("_probe"), F.struct("_ts", "_value", "_at"))
+    fact = F.when(~F.col("_probe"), F.struct("_ts", "_value"))
+    inside = F.last(fact, ignorenulls=True).over(upto)
+    hit = F.coalesce(inside, F.struct("_before._ts", "_before._value"))
     return (
-        line.withColumn("_hit", F.last(fact, ignorenulls=True).over(upto))
-        .where(F.col("_probe") & (F.col("_at") - F.col("_hit._at") <= window))
+        line.withColumn("_hit", hit)
+        .where(F.col("_probe") & (F.col("_at") - micros(F.col("_hit._ts")) <= window))
         .select(
             *map(col, keys),
             F.col("_anchor").alias(anchor_ts),
@@ -175,44 +232,68 @@ def lookback_counts(
     """Number of facts of the case in the last ``hours`` per anchor, both ends included.
 
     Equals counting the rows of ``lookback_join`` per anchor, with anchors without facts at 0,
-    but works on running counts: facts up to the anchor less facts before the window.
+    but works on sums of three levels: whole parts of the window from the list of its chunk, and
+    running counts inside the parts in which the window ends.
     """
     keys, width = names(key), _width(hours)
-    known = (
+    part = max(width // PARTS, 1)
+    chunk = max(width, 1)
+    merged = (
         facts.where(all_present([*keys, fact_ts]))
-        .groupBy(*map(col, keys), micros(col(fact_ts)).alias("_at"))
+        .groupBy(*map(col, keys), _part_of(micros(col(fact_ts)), part).alias("_part"), micros(col(fact_ts)).alias("_at"))
         .agg(F.count("*").alias("_n"))
-        .withColumn("_rank", F.lit(1))
     )
-    points = (
+    reached = F.sequence(
+        _chunk(F.col("_part"), chunk), _chunk(F.col("_part") + part + width, chunk), F.lit(chunk)
+    )
+    sums = (
+        merged.groupBy(*map(col, keys), "_part")
+        .agg(F.sum("_n").alias("_n"))
+        .withColumn("_chunk", F.explode(reached))
+        .groupBy(*map(col, keys), "_chunk")
+        .agg(F.collect_list(F.struct("_part", "_n")).alias("_sums"))
+    )
+    end = F.col("_end")
+    ends = (
         anchors.select(*map(col, keys), col(anchor_ts).alias("_anchor"))
         .where(all_present([*keys, "_anchor"]))
         .distinct()
         .withColumn("_end", micros(F.col("_anchor")))
-        # A window start is met before, a window end after the facts of the same time.
-        .withColumn(
-            "_point",
-            F.explode(
-                F.array(
-                    F.struct((F.col("_end") - width).alias("_at"), F.lit(0).alias("_rank")),
-                    F.struct(F.col("_end").alias("_at"), F.lit(2).alias("_rank")),
-                )
-            ),
-        )
-        .select(*map(col, keys), "_anchor", "_point._at", "_point._rank")
     )
-    line = known.unionByName(points, allowMissingColumns=True).withColumn(
-        "_chunk", _chunk(F.col("_at"), width)
+    # The start of a window is met before, its end after the facts of the same time.
+    marks = F.array(
+        F.struct((end - width).alias("_at"), F.lit(0).alias("_rank"), F.lit(-1).alias("_sign")),
+        F.struct(end.alias("_at"), F.lit(2).alias("_rank"), F.lit(1).alias("_sign")),
+    )
+    points = ends.select(*map(col, keys), "_anchor", F.explode(marks).alias("_m")).select(
+        *map(col, keys), "_anchor", "_m._at", "_m._rank", "_m._sign", _chunk(F.col("_m._at"), part).alias("_part")
+    )
+    asked = points.select(*map(col, keys), "_part").distinct()
+    line = (
+        merged.join(asked, [*keys, "_part"])
+        .withColumn("_rank", F.lit(1))
+        .unionByName(points, allowMissingColumns=True)
+    )
+    upto = (
+        W.partitionBy(*map(col, keys), "_part")
+        .orderBy("_at", "_rank")
+        .rowsBetween(W.unboundedPreceding, W.currentRow)
     )
-    chunk = W.partitionBy(*map(col, keys), "_chunk")
-    upto = chunk.orderBy("_at", "_rank").rowsBetween(W.unboundedPreceding, W.currentRow)
     seen = F.coalesce(F.sum("_n").over(upto), F.lit(0))
-    # The window spans two chunks: the rest of the start's chunk and the part up to the anchor.
-    total = F.coalesce(F.sum("_n").over(chunk), F.lit(0))
-    part = F.when(F.col("_rank") == 2, seen).otherwise(total - seen)
+    edges = line.withColumn("_seen", seen).where(F.col("_rank") != 1)
+    edges = edges.groupBy(*map(col, keys), "_anchor").agg(F.sum(F.col("_sign") * F.col("_seen")).alias("_edge"))
+    whole = F.aggregate(
+        F.filter("_sums", lambda x: (x["_part"] >= F.col("_first")) & (x["_part"] < F.col("_last"))),
+        F.lit(0).cast("long"),
+        lambda s, x: s + x["_n"],
+    )
     return (
-        line.withColumn("_part", part)
-        .where(F.col("_rank") != 1)
-        .groupBy(*map(col, keys), F.col("_anchor").alias(anchor_ts))
-        .agg(F.sum("_part").alias(name))
+        edges.withColumn("_end", micros(F.col("_anchor")))
+        .withColumns({"_first": _chunk(end - width, part), "_last": _chunk(end, part), "_chunk": _chunk(end, chunk)})
+        .join(sums, [*keys, "_chunk"], "left")
+        .select(
+            *map(col, keys),
+            F.col("_anchor").alias(anchor_ts),
+            (F.col("_edge") + F.coalesce(whole, F.lit(0))).alias(name),
+        )
     )

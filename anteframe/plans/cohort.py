@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import vocab
@@ -15,7 +15,7 @@ from ..operators.joins import null_safe_join
 from ..operators.prefix import longest_prefix_group
 from ..operators.sets import union_all
 
-TEXT_SUM = "_text_sum"
+TEXT_SUM, ROW_SUM = "_text_sum", "_row_sum"
 CASE, DAY, TIME, AT = "Fallnummer", "prozedur_datum", "prozedur_zeit", "prozedur_datetime"
 
 
@@ -123,37 +123,78 @@ def reports_alone_on_their_day(reports: DataFrame) -> DataFrame:
     return keep_singletons(reports, [CASE, DAY])
 
 
-def usable_reports(reports: DataFrame) -> DataFrame:
+def report_choice(reports: DataFrame) -> DataFrame:
+    """The newest version of each report that is alone on its case and day, without its text.
+
+    Columns: what ``parsed_reports`` adds, ``_row_sum`` (a checksum of the whole row, by which the
+    row can be fetched) and ``_copies`` (how many rows have it). Every report is parsed once here.
+    Versions and days are settled by mergeable maxima: one report on a day means that the least
+    and the greatest (number, head) are the same, and the greatest (date, document number, text)
+    is the newest version. Of rows that differ in other columns only, the greatest checksum wins.
+    """
+    added = [c for c in parsed_reports(reports).columns if c not in reports.columns]
+    rows = parsed_reports(reports.withColumn(ROW_SUM, _row_sum(reports)))
+    rows = rows.withColumn(TEXT_SUM, F.sha2(col("CONTENT"), 256))
+    version = ["befund_datum", "DOKNR", TEXT_SUM, ROW_SUM]
+    small = [c for c in added if c not in (CASE, DAY, *version)]
+    distinct = rows.groupBy(*map(col, [CASE, DAY, *version])).agg(
+        F.count("*").alias("_copies"), *[F.first(col(c)).alias(c) for c in small]
+    )
+    report = F.struct("befund_nummer", "CONTENT_head")
+    newest = F.max(F.struct(*map(col, [*version, "_copies", *small])))
+    days = distinct.groupBy(col(CASE), col(DAY)).agg(
+        F.min(report).alias("_least"), F.max(report).alias("_greatest"), newest.alias("_newest")
+    )
+    # The second condition always holds; for it every use of the choice, however few columns it
+    # needs, is the same exchange, and the reports are parsed once for all of them.
+    one = F.col("_least").eqNullSafe(F.col("_greatest")) & (F.col("_newest._copies") >= 1)
+    alone = days.where(one)
+    return alone.select(*[col(c) if c in (CASE, DAY) else F.col("_newest").getField(c).alias(c) for c in [*added, ROW_SUM, "_copies"]])
+
+
+def _row_sum(reports: DataFrame) -> Column:
+    return F.sha2(F.to_json(F.struct(*map(col, reports.columns))), 256)
+
+
+def usable_reports(reports: DataFrame, choice: DataFrame | None = None) -> DataFrame:
     """The newest version of each report, if no other one is of its case and day.
 
-    Versions and days are settled without the texts; those are fetched for what is left, and only
-    if a caller looks at them. Of exact copies one stays.
+    ``report_choice`` settles which, without the texts; these are fetched by the checksum of their
+    row and not parsed again. Of exact copies one stays; only reports that have copies are shuffled
+    for it. Callers that need the choice too pass it, so it is made once.
     """
-    rows = parsed_reports(reports).withColumn(TEXT_SUM, F.sha2(col("CONTENT"), 256))
-    identity = [CASE, DAY, "befund_nummer", "CONTENT_head", "befund_datum", "DOKNR", TEXT_SUM]
-    kept = reports_alone_on_their_day(newest_reports(rows.select(*map(col, identity))))
-    found = null_safe_join(rows, kept, on=identity, how="left_semi")
-    return found.dropDuplicates([CASE, DAY]).drop(TEXT_SUM)
+    choice = report_choice(reports) if choice is None else choice
+    rows = reports.withColumn(ROW_SUM, _row_sum(reports))
+    columns = [*reports.columns, *[c for c in choice.columns if c not in reports.columns]]
+    single = rows.join(choice.where("_copies = 1"), ROW_SUM).select(*map(col, columns))
+    several = rows.join(choice.where("_copies > 1"), ROW_SUM).select(*map(col, columns))
+    return single.unionByName(several.dropDuplicates([ROW_SUM])).drop(ROW_SUM, "_copies")
 
 
 def reports_with_procedure(
-    reports: DataFrame, procs: DataFrame, check: bool = True
+    reports: DataFrame, procs: DataFrame, check: bool = True, keys: DataFrame | None = None
 ) -> DataFrame:
     """Reports with the one procedure time of their case and day.
 
-    With ``check`` the query fails if there are several reports for one of them.
+    With ``check`` the query fails if there are several reports for one of them. ``keys``: a table
+    with case and day of each of ``reports``, where that is cheaper to look at than these.
     """
     timed = single_or_null(procs, [CASE, DAY], TIME, "num_start_times")
     if check:
-        timed = null_safe_join(unique_keys(reports, [CASE, DAY]), timed, on=[CASE, DAY])
+        found = unique_keys(reports if keys is None else keys, [CASE, DAY])
+        timed = null_safe_join(found, timed, on=[CASE, DAY])
     return null_safe_join(reports, timed, on=[CASE, DAY])
 
 
 def procedures_for_labelling(
-    reports: DataFrame, procs: DataFrame, master: DataFrame, check: bool = True
+    reports: DataFrame,
+    procs: DataFrame,
+    master: DataFrame,
+    check: bool = True,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """Adult in-patients' procedures with their report; age is filled from the birth date."""
-    rows = reports_with_procedure(reports, procs, check).join(master, CASE)
+    rows = reports_with_procedure(reports, procs, check, keys).join(master, CASE)
     rows = rows.withColumn(AT, times.iso_timestamp(col(DAY), col(TIME)))
     rows = rows.withColumn(
         "alter_bei_prozedur",

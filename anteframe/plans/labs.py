@@ -6,12 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from .. import vocab
 from ..columns import all_present, col
 from ..functions import codes, ranges, times
 from ..functions.numbers import add_numeric_columns, lenient_decimal
-from ..operators.asof import keep_known_keys, latest_per_dimension
+from ..operators.asof import latest_per_dimension, maybe_known
 from ..operators.features import complete_cases, completeness, pivot_values
 from ..operators.joins import attach, null_safe_join
 from ..operators.sets import union_all
@@ -112,8 +113,7 @@ def latest_labs(
     """The newest value per procedure and parameter in the look-back window."""
     return latest_per_dimension(
         procedures,
-        # By the time alone, so that the filter can move below everything that is derived.
-        keep_known_keys(labs, procedures, key=CASE, by=[SAMPLED]),
+        maybe_known(labs, procedures, key=CASE),
         key=CASE,
         anchor_ts=ANCHOR,
         fact_ts=EFFECTIVE_AT,
@@ -134,8 +134,8 @@ def _check_variant(variant: str) -> None:
         raise ValueError(f"unknown variant {variant!r}")
 
 
-# Stands for every parameter without a column of its own.
-UNLISTED = "\u0000unlisted"
+#: A table gets at most so many columns of parameters that are not listed beforehand.
+MOST_COLUMNS = 2000
 
 
 def _ids(labs: DataFrame, variant: str, ids: Sequence[str] | str | None) -> list[str]:
@@ -144,7 +144,10 @@ def _ids(labs: DataFrame, variant: str, ids: Sequence[str] | str | None) -> list
         if ids != "all":
             raise ValueError(f"ids is a list or 'all', not {ids!r}")
         found = distinct_lab_ids(labs).where(col(EFFECTIVE_ID).isNotNull())
-        return sorted(r[0] for r in found.collect())
+        every = [r[0] for r in found.limit(MOST_COLUMNS + 1).collect()]
+        if len(every) > MOST_COLUMNS:
+            raise ValueError(f"more than {MOST_COLUMNS} parameters: use feature_maps")
+        return sorted(every)
     reduced = variant == "reduced"
     return list(ids or (vocab.LAB_FEATURES_REDUCED if reduced else vocab.LAB_FEATURES))
 
@@ -174,23 +177,46 @@ def lab_features(
     """
     labs = _of_variant(labs, variant)
     wanted = _ids(labs, variant, ids)
-    listed = F.when(col(EFFECTIVE_ID).isin(*wanted), col(EFFECTIVE_ID))
-    other = F.when(col(EFFECTIVE_ID).isNotNull(), F.lit(UNLISTED))
-    wide = pivot_values(
-        latest_labs(
-            procedures,
-            labs.withColumn(EFFECTIVE_ID, F.coalesce(listed, other)),
-            hours,
-            [*wanted, UNLISTED],
-        ),
-        index=[CASE, ANCHOR],
-        dim=EFFECTIVE_ID,
-        value=NUMBER,
-        values=wanted,
-    )
+    # Parameters without a column still make the row of their procedure.
+    latest = latest_labs(procedures, labs, hours)
+    wide = pivot_values(latest, index=[CASE, ANCHOR], dim=EFFECTIVE_ID, value=NUMBER, values=wanted)
     return complete_cases(wide, wanted) if variant == "reduced" else wide
 
 
+def feature_maps(procedures: DataFrame, labs: DataFrame, hours: float = vocab.LOOKBACK_HOURS) -> DataFrame:
+    """The newest value of every parameter as a map, one row per procedure with any value.
+
+    For parameters that nobody has listed: no pass on the driver and no column per parameter.
+    ``feature_dictionary`` numbers the keys as a table of its own, and ``feature_vectors`` puts
+    the numbers in place of the keys.
+    """
+    latest = latest_labs(procedures, labs, hours)
+    entries = F.sort_array(F.collect_list(F.struct(col(EFFECTIVE_ID), col(NUMBER))))
+    return latest.groupBy(col(CASE), col(ANCHOR)).agg(F.map_from_entries(entries).alias("features"))
+
+
+def feature_dictionary(maps: DataFrame) -> DataFrame:
+    """Each parameter in ``maps`` with its column number from 0, by name, and its number of values.
+
+    The window without a partition holds one row per parameter, as the dictionary does.
+    """
+    keys = maps.select(F.explode(F.map_keys("features")).alias(EFFECTIVE_ID))
+    counts = keys.groupBy(col(EFFECTIVE_ID)).agg(F.count("*").alias("n_values"))
+    number = F.row_number().over(W.orderBy(col(EFFECTIVE_ID))) - 1
+    return counts.select(number.alias("column_number"), col(EFFECTIVE_ID), "n_values")
+
+
+def feature_vectors(maps: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """``maps`` as sparse rows: the sorted column numbers and their values."""
+    cells = maps.select(col(CASE), col(ANCHOR), F.explode("features").alias(EFFECTIVE_ID, "_value"))
+    numbered = cells.join(dictionary.select("column_number", col(EFFECTIVE_ID)), EFFECTIVE_ID)
+    entries = F.sort_array(F.collect_list(F.struct("column_number", "_value")))
+    rows = numbered.groupBy(col(CASE), col(ANCHOR)).agg(entries.alias("_e"))
+    return rows.select(
+        col(CASE), col(ANCHOR), F.col("_e.column_number").alias("columns"), F.col("_e._value").alias("values")
+    )
+
+
 def reduced_completeness(
     procedures: DataFrame, labs: DataFrame, hours: float = vocab.LOOKBACK_HOURS
 ) -> DataFrame:

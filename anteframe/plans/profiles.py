@@ -21,28 +21,25 @@ def coverage_curve(latest: DataFrame, *, case: Sequence[str], dim: str) -> DataF
     """How many cases have all of the k most frequent dimensions, for k = 1, 2, ...
 
     Ends with the first k that no case fulfils. Equally frequent dimensions rank by name.
-    A case counts for every k up to the length of its unbroken run of ranks 1, 2, 3, ..., so one
-    count per run length gives the whole curve. Cases with equal sets are counted once for all
-    that follows. Windows without a partition and the list of all ranks hold a row per dimension,
-    as the curve does, never a row per case.
+    A case counts for every k up to the length of its unbroken run of ranks 1, 2, 3, ... In the
+    sorted ranks of a case, rank less position is 1 exactly within that run, so one count per run
+    length gives the whole curve. A case's list holds its own ranks; only the windows over the
+    dimensions, which the curve lists anyway, have no partition.
     """
-    sets = (
-        latest.groupBy(*map(col, case))
-        .agg(F.sort_array(F.collect_set(col(dim))).alias("_set"))
-        .groupBy("_set")
+    pairs = latest.select(*map(col, case), col(dim).alias("_dim")).distinct()
+    order = W.orderBy(F.desc("_n"), "_dim")
+    ranks = pairs.where(F.col("_dim").isNotNull()).groupBy("_dim").agg(F.count("*").alias("_n"))
+    ranks = ranks.select("_dim", F.row_number().over(order).alias("_r"))
+    own = F.sort_array(F.collect_list("_r"))
+    run = F.size(F.filter(F.transform(own, lambda r, i: r - i), lambda d: d == 1))
+    # A missing dimension has no rank; a case with nothing else has a run of 0.
+    runs = (
+        pairs.join(ranks, "_dim", "left")
+        .groupBy(*map(col, case))
+        .agg(run.alias("_r"))
+        .groupBy("_r")
         .agg(F.count("*").alias("_cases"))
     )
-    ranks = (
-        sets.select(F.explode("_set").alias(dim), "_cases")
-        .groupBy(col(dim))
-        .agg(F.sum("_cases").alias("_n"))
-        .select(dim, F.row_number().over(W.orderBy(F.desc("_n"), col(dim))).alias("_r"))
-    )
-    ranked = ranks.agg(F.sort_array(F.collect_list(F.struct("_r", col(dim)))).getField(dim)).scalar()
-    # The first ranked dimension that a set lacks ends its run.
-    lacking = F.get(F.array_except(ranked, "_set"), F.lit(0))
-    run = F.coalesce(F.array_position(ranked, lacking) - 1, F.size(ranked)).cast("int")
-    runs = sets.groupBy(run.alias("_r")).agg(F.sum("_cases").alias("_cases"))
     longer = W.orderBy(F.desc("_r")).rowsBetween(W.unboundedPreceding, W.currentRow)
     # Run length 0 has no rank: it adds to all cases, but is no row of the curve.
     curve = (
@@ -55,7 +52,7 @@ def coverage_curve(latest: DataFrame, *, case: Sequence[str], dim: str) -> DataF
     kept = F.col("_kept") / F.col("_total") * 100.0
     return curve.select(
         F.col("_r").cast("long").alias("k_num_params"),
-        col(dim).alias("last_param_added"),
+        F.col("_dim").alias("last_param_added"),
         F.col("_kept").alias("num_cases_kept"),
         kept.alias("percent_cases_kept"),
         (F.lit(100.0) - kept).alias("percent_cases_excluded"),
@@ -88,9 +85,10 @@ def time_window_table(
     found = floor_bucket(F.col("minutes_before"), hours_per_window * 60)
     wrong = F.raise_error(F.lit("a row is in no time window")).cast("bigint")
     bucket = F.least(F.when(found >= 0, found).otherwise(wrong), F.lit(n))
-    # One row of each case is marked, so the cases are counted in the same pass.
-    nth = W.partitionBy(*map(col, case)).orderBy(col(dim))
-    rows = latest.withColumn("_first", F.row_number().over(nth) == 1)
+    # The rows of a case are brought together unsorted; the first of them stands for the case.
+    of_case = F.collect_list(F.struct(col(dim), "minutes_before"))
+    rows = latest.groupBy(*map(col, case)).agg(of_case.alias("_rows"))
+    rows = rows.select(F.posexplode("_rows").alias("_nth", "_row")).select((F.col("_nth") == 0).alias("_first"), "_row.*")
     table = rows.groupBy(col(dim)).agg(
         *[F.count_if(bucket == w).alias(n) for w, n in zip(windows, labels)],
         F.count_if("_first").alias("_cases"),
@@ -117,6 +115,36 @@ def timing_stats(latest: DataFrame, *, dim: str, quartiles: bool = False) -> Dat
     )
 
 
+#: Items of a quantile sketch: ranks are off by less than 1 % of all values, as a rule by 0.1 %.
+SKETCH_ITEMS = 2048
+
+
+def timing_sketches(latest: DataFrame, *, dim: str, anchor_ts: str) -> DataFrame:
+    """A sketch of the hours before the anchor per dimension and day of the anchor.
+
+    One row of a few kilobytes for each (dimension, day), made with a map-side part. Sketches of
+    any days can be merged, so the values need not be read again: see ``timing_quartiles``.
+    """
+    hours = (F.col("minutes_before") / 60).cast("double")
+    return (
+        latest.where(F.col("minutes_before").isNotNull())
+        .groupBy(col(dim), F.to_date(col(anchor_ts)).alias("day"))
+        .agg(F.count("*").alias("n"), F.kll_sketch_agg_double(hours, SKETCH_ITEMS).alias("sketch"))
+    )
+
+
+def timing_quartiles(sketches: DataFrame, *, dim: str, period: Column | None = None) -> DataFrame:
+    """Quartiles of the hours before the anchor per dimension, and per ``period`` if given.
+
+    ``period`` is made from the column ``day``; without it all days are merged.
+    """
+    by = [col(dim), *([period.alias("period")] if period is not None else [])]
+    merged = sketches.groupBy(*by).agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch", F.lit(SKETCH_ITEMS)).alias("_s"))
+    names = {"q1_hours": 0.25, "median_hours": 0.5, "q3_hours": 0.75}
+    found = {n: F.kll_sketch_get_quantile_double("_s", F.lit(q)) for n, q in names.items()}
+    return merged.withColumns(found).drop("_s")
+
+
 def unit_inventory(df: DataFrame, *, name: str, unit: str, described_by: Sequence[str]) -> tuple:
     """(rows per full description, distinct units per name); missing parts stay as null groups."""
     per_description = group_counts(df, described_by, keep_nulls=True)

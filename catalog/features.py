@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from anteframe.operators.asof import (
@@ -256,3 +256,35 @@ FROM latest GROUP BY event_type""")
 def timing_stats(t: Tables) -> DataFrame:
     stats = profiles.timing_stats(latest(t, fine=True), dim="event_type")
     return stats.withColumn("mean_hours_before", F.round("mean_hours_before", 6))
+
+
+# A quartile of the sketch is right if it lies between the values 1 % below and above its rank.
+RANKS_SQL = ", ".join(f"true AS {n}_in_bounds" for n in ("q1", "median", "q3"))
+
+
+@query(f"""{WITH_FINE}
+SELECT event_type, count(*) AS n, {RANKS_SQL} FROM latest GROUP BY event_type""")
+def timing_quartiles(t: Tables) -> DataFrame:
+    """Quartiles out of merged daily sketches, held against the ranks of all values."""
+    rows = latest(t, fine=True)
+    sketches = profiles.timing_sketches(rows, dim="event_type", anchor_ts="anchor_ts")
+    found = profiles.timing_quartiles(sketches, dim="event_type").drop("n")
+    hours = F.col("minutes_before") / 60
+    bounds = {"q1": ("q1_hours", 0.25), "median": ("median_hours", 0.5), "q3": ("q3_hours", 0.75)}
+
+    def within(name: str, q: float) -> Column:
+        below, upto = F.count_if(hours < F.col(name)), F.count_if(hours <= F.col(name))
+        return (below <= (q + 0.01) * F.count("*")) & (upto >= (q - 0.01) * F.count("*"))
+
+    return rows.join(found, "event_type").groupBy("event_type").agg(
+        F.count("*").alias("n"), *[within(*b).alias(f"{n}_in_bounds") for n, b in bounds.items()]
+    )
+
+
+@query(f"""{WITH_FINE}
+SELECT event_type, strftime(anchor_ts, '%Y-%m') AS period, count(*) AS n FROM latest GROUP BY ALL""")
+def timing_sketch_periods(t: Tables) -> DataFrame:
+    """The same sketches merged to months: no period is without its quartiles, and these rise."""
+    sketches = profiles.timing_sketches(latest(t, fine=True), dim="event_type", anchor_ts="anchor_ts")
+    months = profiles.timing_quartiles(sketches, dim="event_type", period=F.date_format("day", "yyyy-MM"))
+    return months.where("q1_hours <= median_hours AND median_hours <= q3_hours").select("event_type", "period", "n")

@@ -176,6 +176,38 @@ def lab_features(t: Tables) -> DataFrame:
     return naive(labs.lab_features(procs(t), clean_labs(t)))
 
 
+@query(f"""WITH {LABS_SQL}, {LABELLED_SQL}, {LATEST_SQL}
+SELECT "Fallnummer", prozedur_datetime, count(*) AS n_features, string_agg(parameterid_effektiv, ' ' ORDER BY parameterid_effektiv) AS keys,
+       max(ergebniswert_num) FILTER (parameterid_effektiv = 'NEW_S') AS "NEW_S", max(ergebniswert_num) FILTER (parameterid_effektiv = 'x-K_x') AS "x-K_x"
+FROM latest GROUP BY ALL""")
+def feature_maps(t: Tables) -> DataFrame:
+    """Among the keys is NEW_S, which no list names."""
+    maps = labs.feature_maps(procs(t), clean_labs(t))
+    of = {i: F.try_element_at("features", F.lit(i)) for i in ("NEW_S", "x-K_x")}
+    keys = F.array_join(F.map_keys("features"), " ").alias("keys")
+    return naive(maps.select(*map(col, ANCHOR), F.size("features").cast("long").alias("n_features"), keys, *[c.alias(i) for i, c in of.items()]))
+
+
+@query(f"""WITH {LABS_SQL}, {LABELLED_SQL}, {LATEST_SQL}
+SELECT row_number() OVER (ORDER BY parameterid_effektiv) - 1 AS column_number, parameterid_effektiv, count(*) AS n_values
+FROM latest GROUP BY parameterid_effektiv""")
+def feature_dictionary(t: Tables) -> DataFrame:
+    return labs.feature_dictionary(labs.feature_maps(procs(t), clean_labs(t)))
+
+
+@query(f"""WITH {LABS_SQL}, {LABELLED_SQL}, {LATEST_SQL},
+d AS (SELECT parameterid_effektiv, row_number() OVER (ORDER BY parameterid_effektiv) - 1 AS i FROM (SELECT DISTINCT parameterid_effektiv FROM latest))
+SELECT "Fallnummer", prozedur_datetime, string_agg(i, ' ' ORDER BY i) AS columns, count(*) AS n, max_by(ergebniswert_num, i) AS last_value
+FROM latest JOIN d USING (parameterid_effektiv) GROUP BY ALL""")
+def feature_vectors(t: Tables) -> DataFrame:
+    maps = labs.feature_maps(procs(t), clean_labs(t))
+    rows = labs.feature_vectors(maps, labs.feature_dictionary(maps))
+    return naive(rows.select(
+        *map(col, ANCHOR), F.array_join(F.col("columns").cast("array<string>"), " ").alias("columns"),
+        F.size("columns").cast("long").alias("n"), F.element_at("values", -1).alias("last_value"),
+    ))
+
+
 # The short list as its columns, and the ids from which they are made, before any are merged.
 REDUCED = [f'wide."{i}" IS NOT NULL' for i in vocab.LAB_FEATURES_REDUCED]
 RAW_REDUCED = ", ".join(f"'{i}'" for i in vocab.LAB_IDS_REDUCED)
@@ -504,9 +536,11 @@ def unusable_report_count(t: Tables) -> DataFrame:
 @query(f"""WITH {PROC_SQL}, {REPORT_SQL}, {JOINED_SQL}
 SELECT {", ".join(f'"{c}"' for c in REPORT_COLUMNS)}, prozedur_zeit, num_start_times FROM j""")
 def reports_with_procedure(t: Tables) -> DataFrame:
+    choice = cohort.report_choice(report_source(t))
     joined = cohort.reports_with_procedure(
-        cohort.usable_reports(report_source(t)),
+        cohort.usable_reports(report_source(t), choice),
         cohort.procedures(*procedure_sources(t)),
+        keys=choice,
     )
     return naive(joined.select(*REPORT_COLUMNS, "prozedur_zeit", "num_start_times"))
 
@@ -519,10 +553,12 @@ a AS (SELECT j.*, master.* EXCLUDE ("Fallnummer", alter_bei_prozedur, geburtsdat
 SELECT "Fallnummer", "DOKNR", "Patientennummer", geschlecht, prozedur_datetime, age AS alter_bei_prozedur,
        ceil(age / 10)::BIGINT AS altersdekade_bei_prozedur FROM a WHERE age >= 18""")
 def cohort_for_labelling(t: Tables) -> DataFrame:
+    choice = cohort.report_choice(report_source(t))
     rows = cohort.procedures_for_labelling(
-        cohort.usable_reports(report_source(t)),
+        cohort.usable_reports(report_source(t), choice),
         cohort.procedures(*procedure_sources(t)),
         cohort.inpatients(*master_sources(t)),
+        keys=choice,
     )
     return naive(
         rows.select(
