@@ -85,7 +85,8 @@ def histogram(df: DataFrame, value: str, bins: int = 100) -> DataFrame:
     # -0.0 is the same value as 0.0, and no key of its own.
     v = df.select((col(value).cast("double") + F.lit(0.0)).alias("_v")).where("_v IS NOT NULL")
     v = v.groupBy("_v").agg(F.count("*").alias("_n"))
-    ends = v.agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+    # Always true, but so the edges need the counts too and come from the same exchange as the bins.
+    ends = v.where("_n > 0").agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"))
     flat = F.col("lo") == F.col("hi")
     ends = ends.select(
         F.struct(

@@ -159,3 +159,92 @@ def test_flags(spark):
     assert rows(got) == [(1, T0, True, False), (2, T0, False, False)]
     assert rows(history.pair_count(anchors, events, key="case")) == [(2 * 3 + 1 + 1 + 1,)]
     assert rows(history.pair_count(anchors, events.where("case > 9"), key="case")) == [(0,)]
+
+
+def dense(spark, n=1_000_000):
+    """One case and one signal, ``n`` times in a week, and an anchor a minute."""
+    step = 7 * 86_400_000_000 // n
+    start = 1_704_067_200_000_000
+    facts = spark.range(n).select(
+        F.lit(1).cast("long").alias("case"),
+        F.timestamp_micros(F.lit(start) + F.col("id") * step).alias("ts"),
+        F.lit("a").alias("dim"),
+        F.col("id").cast("double").alias("value"),
+        "id",
+    )
+    anchors = spark.range(7 * 1440).select(
+        F.lit(1).cast("long").alias("case"),
+        F.timestamp_micros(F.lit(start) + F.col("id") * 60_000_000 + step - 1).alias("at"),
+    )
+    return anchors, facts, step
+
+
+@pytest.fixture
+def many_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_dense_signal_is_many_tasks(spark, many_partitions):
+    anchors, facts, step = dense(spark)
+    got = asof.latest_per_dimension(anchors, facts, dim="dim", value="value", dims=["a", "b"], **COMMON)
+    wrong = F.count_if(F.unix_micros("at") - F.unix_micros("ts") != F.pmod(F.unix_micros("at") - F.lit(1_704_067_200_000_000), F.lit(step)))
+    got = got.withColumn("task", F.spark_partition_id())
+    n, bad, tasks = got.agg(F.count("*"), wrong, F.count_distinct("task")).first()
+    assert (n, bad) == (7 * 1440, 0) and tasks >= 8
+
+
+def test_dense_counts_are_many_tasks(spark):
+    anchors, facts, step = dense(spark)
+    counts = asof.lookback_counts(anchors, facts, **COMMON)
+    start = F.unix_micros("at") - F.lit(1_704_067_200_000_000)
+    want = F.floor(start / step) + 1
+    assert tuple(counts.agg(F.count("*"), F.count_if(F.col("n_facts") != want)).first()) == (7 * 1440, 0)
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert windows and all("_part" in line for line in windows)
+
+
+def test_anchors_meet_only_dimensions_that_are_there(spark):
+    anchors, facts = random_data(9)
+    a, f = frames(spark, anchors, facts)
+    dims = ["a", "c", *(f"absent {i}" for i in range(500))]
+    got = asof.latest_per_dimension(a, f, dim="dim", value="value", tiebreak="id", dims=dims, **COMMON)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    # Nothing but the lists of last values is multiplied.
+    made = [line for line in plan.splitlines() if "Generate" in line]
+    assert made and all("sequence" in line for line in made)
+    assert rows(got.select("case", "at", "dim", "value", "ts")) == sorted(brute_latest(anchors, facts, dims), key=repr)
+
+
+@pytest.mark.parametrize("hours", [0, 1, 5000])
+def test_other_windows(spark, hours):
+    anchors, facts = random_data(10, days=3)
+    a, f = frames(spark, anchors, facts)
+    common = {**COMMON, "hours": hours}
+    window = dt.timedelta(hours=hours)
+    near = [(c, t, x) for c, t in set(anchors) for x in facts if x[0] == c and x[1] and t - window <= x[1] <= t]
+    counts = {(c, t): 0 for c, t in anchors}
+    best = {}
+    for c, t, x in near:
+        counts[c, t] += 1
+        k = (c, t, x[2])
+        if x[2] and (k not in best or (x[1], x[4]) > (best[k][1], best[k][4])):
+            best[k] = x
+    assert rows(asof.lookback_counts(a, f, **common)) == sorted(((c, t, n) for (c, t), n in counts.items()), key=repr)
+    if hours:
+        got = asof.latest_per_dimension(a, f, dim="dim", value="value", tiebreak="id", **common).select("case", "at", "dim", "value")
+        assert rows(got) == sorted(((*k, x[3]) for k, x in best.items()), key=repr)
+
+
+def test_maybe_known_keeps_all_known(spark):
+    facts = spark.range(20_000).select(F.when(F.col("id") % 50 != 0, F.col("id") % 4000).alias("case"), "id")
+    anchors = spark.range(0, 4000, 40).select(F.col("id").alias("case"))
+    got = asof.maybe_known(facts, anchors, key="case")
+    exact = facts.join(anchors, "case", "left_semi")
+    assert exact.join(got, "id", "left_anti").count() == 0
+    assert got.count() < exact.count() + 100
+    assert asof.maybe_known(facts, anchors, key="case", bits=64).where("case IS NOT NULL").count() >= exact.count()
+    assert asof.maybe_known(facts, anchors.limit(0), key="case").count() == 0

@@ -52,11 +52,53 @@ def test_report_texts_are_not_shuffled(spark):
 
 
 def test_unknown_cases_are_left_out_before_anything_is_shuffled(spark):
-    plan = QUERIES["lab_features"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
-    depth = [(len(line) - len(line.lstrip(" :+-")), line) for line in plan.splitlines()]
-    scans = [i for i, (_, line) in enumerate(depth) if "LeftSemi" in line]
-    assert scans
-    for i in scans:
-        inside = [line for d, line in depth[i + 1 :][: next((n for n, (d, _) in enumerate(depth[i + 1 :]) if d <= depth[i][0]), None)]]
-        left = inside[: next((n for n, line in enumerate(inside) if "Aggregate" in line and "user_id" in line and "ergebniswert" not in line), None)]
-        assert not any("Aggregate" in line and "Probeneingangsdatum" in line for line in left)
+    """A filter at each of the five sources, made once; no join of the cases with the labs."""
+    text = QUERIES["lab_features"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    lines = [(len(line) - len(line.lstrip(" :+-")), line) for line in text.splitlines()]
+    assert "LeftSemi" not in text
+    # What a filter reads itself: its last child. The others are what it is compared with.
+    found = set()
+    for i, (depth, line) in enumerate(lines):
+        if "Filter" in line and "scalar-subquery" in line:
+            end = next((n for n in range(i + 1, len(lines)) if lines[n][0] <= depth), len(lines))
+            first = min(d for d, _ in lines[i + 1 : end])
+            last = max(n for n in range(i + 1, end) if lines[n][0] == first)
+            assert not any("Aggregate" in below or "Join" in below for _, below in lines[last:end])
+            found.add(lines[last][1].strip(" :+-")[:40])
+    assert len(found) >= 5
+    # The facts are read by five sources; the cases by the anchors and, once, by the filter.
+    plan = final_plan(QUERIES["lab_features"](spark, FOLDER))
+    assert plan.count("ReusedSubquery") + plan.count("ReusedExchange") >= 5
+
+
+def final_plan(df):
+    """The plan as it ran, subqueries included, without the plans it started from."""
+    df.collect()
+    kept, inner = [], None
+    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        if inner is None and "== Initial Plan ==" in line:
+            inner = depth
+        elif inner is None or depth <= inner:
+            kept.append(line)
+            inner = None
+    return "\n".join(kept)
+
+
+def test_facts_are_scanned_once(spark):
+    """Both uses of the merged facts are one exchange; the other scans are the anchors."""
+    for name, column in (("asof_latest_features", "value#"), ("lookback_join_counts", "NOT (event_type")):
+        plan = final_plan(QUERIES[name](spark, FOLDER))
+        scans = [line for line in plan.splitlines() if "FileScan" in line and column in line]
+        assert len(scans) <= 1 and "ReusedExchange" in plan
+
+
+def test_histogram_reads_its_input_once(spark):
+    plan = final_plan(QUERIES["delay_histogram"](spark, FOLDER))
+    assert sum("FileScan" in line and "l_orderkey" in line for line in plan.splitlines()) == 1
+
+
+def test_reports_are_parsed_once(spark):
+    """The head's pattern is met in one pass; all others fetch by a checksum."""
+    plan = final_plan(QUERIES["cohort_for_labelling"](spark, FOLDER))
+    assert plan.count("ReusedExchange") >= 2 and "Window" not in plan

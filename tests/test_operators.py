@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -210,3 +211,34 @@ def test_quarter_hours_and_years(spark):
     assert rows(audit) == [("GLU_S", True, 1), ("O-GLU_Z.x", False, 1), ("O-GLU_Z.x", True, 1)]
     years = profiles.counts_by_year(df, dim="code", ts=F.col("at"))
     assert (None, None, 1) not in rows(years) and len(rows(years)) == 4
+
+
+def test_coverage_curve_of_many_dimensions(spark):
+    """100,000 dimensions: case i has the first of them up to a length of its own."""
+    lengths = {1: 100_000, 2: 60_000, 3: 10, 4: 0}
+    parts = [spark.range(n).select(F.lit(c).alias("case"), F.format_string("d%06d", "id").alias("dim")) for c, n in lengths.items()]
+    parts.append(spark.createDataFrame([(4, "d000001")], "case int, dim string"))
+    df = parts[0]
+    for part in parts[1:]:
+        df = df.unionByName(part)
+    got = profiles.coverage_curve(df, case=["case"], dim="dim")
+    # Case 4 lifts the second dimension to the first rank and stays for it alone.
+    kept = {1: 4, 2: 3, 10: 3, 11: 2, 60_000: 2, 60_001: 1, 100_000: 1}
+    found = {r["k_num_params"]: r["num_cases_kept"] for r in got.where(F.col("k_num_params").isin(*kept)).collect()}
+    assert found == kept and got.count() == 100_000
+
+
+def test_quartiles_of_merged_sketches(spark):
+    rng = np.random.default_rng(3)
+    hours = np.concatenate((rng.gamma(2, 20, 60_000), np.full(20_000, 5.0)))
+    days = rng.integers(0, 40, len(hours))
+    pdf = pd.DataFrame({"dim": "a", "at": pd.Timestamp("2024-01-01") + pd.to_timedelta(days, "D"), "minutes_before": hours * 60})
+    rows = spark.createDataFrame(pdf).unionByName(spark.createDataFrame([("b", None, None)], "dim string, at timestamp, minutes_before double"))
+    sketches = profiles.timing_sketches(rows, dim="dim", anchor_ts="at")
+    assert sketches.count() == 40
+    got = profiles.timing_quartiles(sketches, dim="dim").collect()
+    assert [(r["dim"], r["n"]) for r in got] == [("a", len(hours))]
+    for name, q in (("q1_hours", 0.25), ("median_hours", 0.5), ("q3_hours", 0.75)):
+        assert (hours < got[0][name] - 1e-9).mean() <= q + 0.01 and (hours <= got[0][name] + 1e-9).mean() >= q - 0.01
+    weeks = profiles.timing_quartiles(sketches, dim="dim", period=F.weekofyear("day")).collect()
+    assert sum(r["n"] for r in weeks) == len(hours) and all(r["q1_hours"] <= r["median_hours"] <= r["q3_hours"] for r in weeks)

@@ -263,3 +263,36 @@ def test_blood_gas_delays(spark):
     bins = profiles.blood_gas_delay_histogram(gas, bins=4).orderBy("bin").collect()
     assert [(r["lower"], r["n"]) for r in bins] == [(-10.0, 1), (0.0, 0), (10.0, 0), (20.0, 1)]
     assert rows(profiles.blood_gas_counts_by_year(gas)) == [("O-K_Z", 2020, 1), ("O-PH_Z", 2019, 1), ("O-PH_Z", 2020, 2)]
+
+
+def test_open_vocabulary(spark, monkeypatch):
+    t = at("2024-01-10 12:00:00")
+    procs = spark.createDataFrame([(1, t), (2, t), (3, t)], "Fallnummer long, prozedur_datetime timestamp")
+    values = [(1, "b new", 2.0), (1, "A_1", 1.0), (2, "b new", 3.0), (9, "other", 4.0)]
+    df = spark.createDataFrame(
+        [(c, t, "1", p, t, p, x) for c, p, x in values],
+        "Fallnummer long, Probeneingangsdatum timestamp, Ergebniswert string, `Parameter-ID primär` string,"
+        " abnahmezeitpunkt_effektiv timestamp, parameterid_effektiv string, ergebniswert_num double",
+    )
+    maps = labs.feature_maps(procs, df)
+    assert rows(maps.select("Fallnummer", "features")) == [(1, {"A_1": 1.0, "b new": 2.0}), (2, {"b new": 3.0})]
+    words = labs.feature_dictionary(maps)
+    assert rows(words) == [(0, "A_1", 1), (1, "b new", 2)]
+    vectors = labs.feature_vectors(maps, words).select("Fallnummer", "columns", "values")
+    assert rows(vectors) == [(1, [0, 1], [1.0, 2.0]), (2, [1], [3.0])]
+    monkeypatch.setattr(labs, "MOST_COLUMNS", 2)
+    with pytest.raises(ValueError, match="feature_maps"):
+        labs.lab_features(procs, df, ids="all")
+
+
+def test_copies_of_reports(spark, files):
+    """Of rows that differ in a column beside the text one stays, as of exact copies."""
+    reports, _ = clinic.read_reports(spark, f"{files}/reports")
+    marked = reports.withColumn("extra", F.lit("a"))
+    both = marked.unionByName(marked).unionByName(reports.withColumn("extra", F.lit("b")))
+    usable = cohort.usable_reports(both)
+    once = cohort.usable_reports(marked)
+    assert rows(usable.drop("extra")) == rows(once.drop("extra"))
+    assert rows(cohort.usable_reports(both.limit(0))) == [] and usable.columns == once.columns
+    # The choice alone says how often a row occurs.
+    assert {r["_copies"] for r in cohort.report_choice(marked.unionByName(marked)).collect()} == {2}
