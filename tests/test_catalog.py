@@ -79,7 +79,7 @@ def final_plan(df):
         depth = len(line) - len(line.lstrip(" :+-"))
         if inner is None and "== Initial Plan ==" in line:
             inner = depth
-        elif inner is None or depth <= inner:
+        elif inner is None or depth < inner:
             kept.append(line)
             inner = None
     return "\n".join(kept)
