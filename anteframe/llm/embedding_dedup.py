@@ -119,26 +119,9 @@ def tiles(classes: DataFrame, width: int, turn: np.ndarray, threshold: float) ->
     )
 
 
-def near_vectors(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", threshold: float = 0.95) -> DataFrame:
-    """One row per vector: vec_id, n_links, component_id, kept.
-
-    Two vectors are linked if their cosine, in double precision, is at least ``threshold``;
-    component_id is the smallest vec_id reachable by links. A vector that is null, empty, zero, or
-    holds a null or non-finite component has no links and stands for itself, as has one of another
-    length than the most frequent. A row repeated whole counts once and is returned once; a row
-    without vec_id has no links, no component and is kept. An empty table gives no rows. Other
-    columns are not looked at. What the driver gets are the second moments, width x width numbers.
-    """
-    spark = rows.sparkSession
-    ready(spark, 2000)
-    x = F.col("vector")
-    every = stored(rows.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector")).distinct())
-    whole = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf"))) & F.exists(x, lambda v: v != 0)
-    valid = every.where(F.col("vec_id").isNotNull() & F.coalesce(whole, F.lit(False)))
-    sizes = valid.groupBy(F.size("vector").alias("width")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "width").limit(1).collect()
-    width = sizes[0].width if sizes else 1
-    valid = valid.where(F.size("vector") == width)
-    classes = stored(valid.groupBy("vector").agg(F.min("vec_id").alias("id"), F.count("*").alias("n")).select("id", "n", "vector"))
+def links_of_width(classes: DataFrame, width: int, threshold: float) -> DataFrame:
+    """Links of the vectors of one length: a, b of a spanning forest, and the links (n) that a has."""
+    spark = classes.sparkSession
     turn = axes(classes.select("vector"), width)
     tile = stored(tiles(classes, width, turn, threshold))
     far = reach(threshold)
@@ -185,7 +168,31 @@ def near_vectors(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embeddi
     for side in ("a", "b"):
         pairs = pairs.join(tile.select(F.col("tile").alias(f"{side}_tile"), *[F.col(c).alias(f"{side}_{c}") for c in blob]), f"{side}_tile")
     with batches_of(spark, 2):
-        found = stored(pairs.mapInArrow(run, "a long, b long, n long"))
+        return stored(pairs.mapInArrow(run, "a long, b long, n long"))
+
+
+def near_vectors(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", threshold: float = 0.95) -> DataFrame:
+    """One row per vector: vec_id, n_links, component_id, kept.
+
+    Two vectors are linked if they have the same length and their cosine, in double precision, is
+    at least ``threshold``; component_id is the smallest vec_id reachable by links. A vector that
+    is null, empty, zero, or holds a null or non-finite component has no links and stands for
+    itself. A row repeated whole counts once and is returned once; a row without vec_id has no
+    links, no component and is kept. An empty table gives no rows. Other columns are not looked
+    at. Each length that occurs, as a rule one, is worked on by itself. What the driver gets are
+    these lengths and the second moments, width x width numbers for each.
+    """
+    spark = rows.sparkSession
+    ready(spark, 2000)
+    x = F.col("vector")
+    every = stored(rows.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector")).distinct())
+    whole = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf"))) & F.exists(x, lambda v: v != 0)
+    valid = every.where(F.col("vec_id").isNotNull() & F.coalesce(whole, F.lit(False)))
+    classes = stored(valid.groupBy("vector").agg(F.min("vec_id").alias("id"), F.count("*").alias("n")).select("id", "n", "vector"))
+    widths = sorted(r.width for r in classes.select(F.size("vector").alias("width")).distinct().collect())
+    found = spark.createDataFrame([], "a long, b long, n long")
+    for width in widths:
+        found = found.unionByName(links_of_width(classes.where(F.size("vector") == width), width, threshold))
     component = components(found.where("a != b"))
     links = found.groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("links"))
 

@@ -246,3 +246,22 @@ def test_queries_on_the_small_table(spark):
     rows = {r.vec_id: r.embedding for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()}
     got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in QUERIES["op9_pca_tiles"](spark, folder).collect()}
     assert got == brute_vectors(rows)
+
+
+def test_vectors_of_several_widths(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for width, n in ((8, 60), (4, 30), (1, 4)):
+        for i in range(n):
+            x = rng.normal(size=width)
+            rows += [(len(rows), x.tolist()), (len(rows) + 1, (x * 3 + rng.normal(size=width) * 0.02).tolist())]
+    rows += [(1000, rows[0][1]), (1001, [float("nan")] * 4), (1002, [0.0] * 8), (1003, [])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    links = []
+    for n, (i, x) in enumerate(rows):
+        for j, y in rows[n + 1 :]:
+            if len(x) == len(y) and any(x) and any(y) and np.isfinite(x + y).all():
+                if np.dot(x, y) / np.linalg.norm(x) / np.linalg.norm(y) >= 0.95:
+                    links.append((i, j))
+    want = roots([i for i, _ in rows], links)
+    assert got == {i: (sum(i in link for link in links), want[i]) for i, _ in rows}
