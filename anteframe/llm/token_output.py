@@ -88,7 +88,7 @@ def shards(
 
     A document's ids, with the end id, are cut into pieces of ``length``; each is a record, ids of 16
     bits, or 32 if ``wide`` (for vocabularies over 65,536). A null text is one id, the end. A row
-    without doc_id is written with -1. Rows that repeat are written as often. An empty table has no
+    without doc_id is marked as such and read as null. Rows that repeat are written as often. An empty table has no
     shards. Other columns are not looked at.
     """
     spark = docs.sparkSession
@@ -120,7 +120,8 @@ def shards(
                     payload = np.zeros(min(SHARD, n - at * SHARD), record)
                 ids = np.frombuffer(raw, kind)
                 own = payload[slot % SHARD]
-                own["head"] = (-1 if doc is None else doc, piece, len(ids))
+                # A piece below zero says that there is no doc_id.
+                own["head"] = (0, -1 - piece, len(ids)) if doc is None else (doc, piece, len(ids))
                 own["ids"][: len(ids)] = ids
         if payload is not None:
             yield shard(at, payload)
@@ -157,10 +158,11 @@ def records(found: DataFrame, from_slot: int = 0, length: int = LENGTH) -> DataF
                 rows = np.frombuffer(raw, np.dtype([("head", HEAD), ("ids", kind, (length,))]))
                 skip = max(0, from_slot - first)
                 rows, slot = rows[skip:], np.arange(first + skip, first + len(rows))
-                doc, n = rows["head"]["doc_id"], rows["head"]["length"].astype(np.int64)
+                doc, piece, n = rows["head"]["doc_id"], rows["head"]["piece"], rows["head"]["length"].astype(np.int64)
+                missing = piece < 0
                 crc = [zlib.crc32(x[:k].astype("<u4").tobytes()) for x, k in zip(rows["ids"], n.tolist(), strict=True)]
                 yield pa.record_batch(
-                    [pa.array(slot), pa.array(np.full(len(slot), at)), pa.array((slot - first) * stride), pa.array(doc, mask=doc < 0), pa.array(rows["head"]["piece"]), pa.array(n), pa.array(crc, pa.int64())],
+                    [pa.array(slot), pa.array(np.full(len(slot), at)), pa.array((slot - first) * stride), pa.array(doc, mask=missing), pa.array(np.where(missing, -1 - piece, piece)), pa.array(n), pa.array(crc, pa.int64())],
                     ["slot", "shard", "offset", "doc_id", "piece", "length", "ids_crc32"],
                 )
 

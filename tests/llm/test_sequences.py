@@ -296,3 +296,12 @@ def test_stages_on_odd_rows(spark, odd_docs, no_docs, rows):
             assert after.columns == odd_docs.columns
             docs = after
     assert (after.count() > 0) == (rows == "odd")
+
+
+def test_negative_and_missing_ids_are_told_apart(spark, tmp_path):
+    rows = [(-5, "a b c"), (-1, "d"), (0, "word " * 3000), (None, "word " * 3000), (None, None), (-(2**63), "e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = token_output.records(token_output.write(token_output.shards(docs), str(tmp_path / "shards"))).collect()
+    assert {r.doc_id for r in got} == {r[0] for r in rows}
+    long = [sorted(r.piece for r in got if r.doc_id == i and r.piece > 0) for i in (0, None)]
+    assert long[0] and long[0] == long[1] and all(r.piece >= 0 for r in got)
