@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._store import BROADCAST_IDS, ready, stored
-from ._text import mix
+from ._text import mix, text_bytes
 from ._tokens import LENGTH, token_pieces
 
 #: Records of a shard: two to eight MB.
@@ -97,10 +97,13 @@ def shards(
 
     def narrow(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [np.frombuffer(x.as_py(), "<u4") for x in batch.column("ids")]
-            if not wide and any(len(x) and x.max() > 0xFFFF for x in ids):
+            data, off = text_bytes(batch.column("ids"))
+            ids = data.view("<u4")
+            if not wide and len(ids) and ids.max() > 0xFFFF:
                 raise ValueError("ids over 65,535 need wide=True")
-            yield pa.record_batch([batch.column("doc_id"), batch.column("piece"), pa.array([x.astype(kind).tobytes() for x in ids], pa.binary())], ["doc_id", "piece", "ids"])
+            ends = (off // 4 * kind.itemsize).astype(np.int32)
+            cut = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(ends), pa.py_buffer(ids.astype(kind))])
+            yield pa.record_batch([batch.column("doc_id"), batch.column("piece"), cut], ["doc_id", "piece", "ids"])
 
     rows = rows.select("doc_id", "piece", "ids").mapInArrow(narrow, "doc_id long, piece int, ids binary")
     rows = stored(rows.withColumn("row", F.monotonically_increasing_id()))
