@@ -77,6 +77,41 @@ def test_second_pass_links_what_hubs_do_not(spark):
     assert {c for _, c, _ in got.values()} == {0}
 
 
+def test_a_value_that_many_share_is_parted_by_the_next(spark, monkeypatch):
+    # All hold the same opening; families differ in the rest, and no component covers a posting.
+    rng = random.Random(4)
+    opening = " ".join(f"o{i}" for i in range(60))
+    texts, n = {}, 0
+    for f in range(12):
+        first = [f"f{f}x{i}" for i in range(40)]
+        for _ in range(5):
+            own = list(first)
+            own[rng.randrange(40)] = "changed"
+            texts[n * 3] = opening + " " + " ".join(own)
+            n += 1
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    monkeypatch.setattr(minhash, "BLOCK", 4)
+    monkeypatch.setattr(minhash, "CELL", 300)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(docs, words=4).collect()}
+    assert got == brute_near(texts, 4)
+    suspects = spark.createDataFrame(
+        [(i, [5], [5, 7 + i % 2]) for i in range(10)], "id long, prefix array<long>, longer array<long>"
+    )
+    none = spark.createDataFrame([], "id long, component_id long")
+    rows = minhash.open_postings(suspects, none).collect()
+    assert {(r.token, r.second, r["size"]) for r in rows} == {(5, 7, 5), (5, 8, 5)}
+
+
+def test_cells_are_bounded_and_hold_every_pair():
+    n = [100] * 50
+    pairs = [(x, y) for x in range(50) for y in range(x + 1, 50)]
+    cells = list(minhash.in_cells(pairs, n))
+    assert sorted((x, y) for c in cells for x, others in c.items() for y in others) == pairs
+    assert minhash.CELL >= max(sum(n[x] for x in c) for c in cells)
+    huge = list(minhash.in_cells([(0, 1), (1, 2)], [minhash.CELL] * 3))
+    assert [sorted(c) for c in huge] == [[0, 1], [1, 2]]
+
+
 def test_near_duplicates_of_odd_rows(odd_docs, no_docs):
     got = minhash.near_duplicates(odd_docs, words=4).toPandas()
     assert len(got) == odd_docs.count()
