@@ -12,8 +12,8 @@ Postings are read in two passes, so that a large group of near copies never beco
 1. Every class counts its collisions with the hub of each of its postings, the class that shares most
    values with others, and is compared with the ``HUBS`` best of at least ``MATCHES``. That links
    nearly all of a group by about as many comparisons as it has members.
-2. Postings whose classes are one component by now are skipped whole; large ones are parted by the
-   second value that two classes share. The others are compared in blocks of bounded size: only
+2. Postings whose classes are one component by now are skipped whole; those of more than ``PARTED`` are
+   parted by the second value that two classes share. The others are compared in blocks of bounded size: only
    pairs of different components, only at the first posting that both share, only with ``MATCHES``
    collisions of coordinates, and only if a second, wider signature leaves the threshold within
    reach. What is left is compared by the whole set of hashes cut to 32 bits (sets up to ``FEW``) or
@@ -52,6 +52,9 @@ FINE = 1024
 FINE_MATCHES = 755
 #: Classes of a posting that are compared as one block.
 BLOCK = 512
+#: Classes of a posting beyond which it is parted: from here on a class is repeated for more blocks
+#: than it has further values to be parted by.
+PARTED = (COORDINATES - MATCHES + 1) * BLOCK
 #: Hubs that a class is compared with in the first pass.
 HUBS = 2
 #: Shingles of all sets that are confirmed together, or two sets.
@@ -187,7 +190,7 @@ def spokes(suspects: DataFrame, percent: int) -> DataFrame:
 def open_postings(suspects: DataFrame, found: DataFrame) -> DataFrame:
     """Postings with more than one component: token, second, id, label, size.
 
-    A posting of more than ``BLOCK`` classes is parted by the second value that two classes share in
+    A posting of more than ``PARTED`` classes is parted by the second value that two classes share in
     their order: who has ``MATCHES`` in common has it among the first ``held - MATCHES + 2``.
     """
     label = F.coalesce("component_id", "id").alias("label")
@@ -198,9 +201,9 @@ def open_postings(suspects: DataFrame, found: DataFrame) -> DataFrame:
         return size.where("low != high").select(*key, "size")
 
     first = stored(several(labelled.select("id", "label", F.explode("prefix").alias("token")), "token"))
-    hot = first.where(F.col("size") > BLOCK).select("token")
+    hot = first.where(F.col("size") > PARTED).select("token")
     rows = labelled.select("id", "label", "longer", F.explode("prefix").alias("token"))
-    cold = rows.drop("longer").join(first.where(F.col("size") <= BLOCK), "token").withColumn("second", F.lit(-1).cast("long"))
+    cold = rows.drop("longer").join(first.where(F.col("size") <= PARTED), "token").withColumn("second", F.lit(-1).cast("long"))
     after = F.expr("slice(longer, cast(array_position(longer, token) as int) + 1, size(longer))")
     parted = rows.join(hot, "token").select("id", "label", "token", F.explode(after).alias("second"))
     parted = parted.join(several(parted, "token", "second"), ["token", "second"])

@@ -91,6 +91,7 @@ def test_a_value_that_many_share_is_parted_by_the_next(spark, monkeypatch):
             n += 1
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     monkeypatch.setattr(minhash, "BLOCK", 4)
+    monkeypatch.setattr(minhash, "PARTED", 4)
     monkeypatch.setattr(minhash, "CELL", 300)
     got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(docs, words=4).collect()}
     assert got == brute_near(texts, 4)
