@@ -81,8 +81,8 @@ class Model:
         return best, score, close
 
 
-def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Model | None:
-    """Learns from about ``sample`` rows of each language; None if no row has one."""
+def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE, sample_all: int = SAMPLE_ALL) -> Model | None:
+    """Learns from about ``sample`` rows of each language, of all together ``sample_all``; None if no row has one."""
     ready(docs.sparkSession)
     known = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).cast("string").alias("label"))
     known = known.where(F.col("label").isNotNull() & F.col("text").isNotNull() & ~held_out())
@@ -90,7 +90,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     if not counts:
         return None
     languages = sorted(counts)
-    drawn = known.where(draw("label", counts, min(sample, SAMPLE_ALL // len(counts))))
+    drawn = known.where(draw("label", counts, min(sample, sample_all // len(counts))))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
