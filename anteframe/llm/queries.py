@@ -30,6 +30,20 @@ def op3_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"), words=4, percent=80)
 
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES["op3_minhash_dedup"] = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+             ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS shingle FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM shared JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * common >= 80 * (p.n + q.n - common)),
+reach AS (SELECT doc_id, doc_id AS root FROM documents UNION SELECT link.b, root FROM reach JOIN link ON link.a = reach.doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, min(root) AS component_id, doc_id = min(root) AS kept
+FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id, n"""
+
+
 @query
 def op1_quality_knn(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
@@ -48,7 +62,7 @@ def op4_language_ecoc(spark: SparkSession, folder: str) -> DataFrame:
     return langid.predicted(docs, langid.fit(docs)).withColumn("held_out", held_out())
 
 
-_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 ORACLES["op2_winnowing"] = f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
@@ -89,11 +103,41 @@ def op9_pca_tiles(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_dedup.near_vectors(table(spark, folder, "embeddings"))
 
 
+ORACLES["op9_pca_tiles"] = """
+WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS x FROM embeddings
+                     WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+u AS (SELECT vec_id, x, sqrt(list_dot_product(x, x)) AS norm FROM v WHERE len(x) > 0 AND list_dot_product(x, x) > 0),
+link AS (SELECT p.vec_id AS a, q.vec_id AS b FROM u p JOIN u q ON p.vec_id <> q.vec_id AND len(p.x) = len(q.x)
+         WHERE list_dot_product(p.x, q.x) / (p.norm * q.norm) >= 0.95),
+reach AS (SELECT vec_id, vec_id AS root FROM embeddings UNION SELECT link.b, root FROM reach JOIN link ON link.a = reach.vec_id),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM link GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, min(root) AS component_id, vec_id = min(root) AS kept
+FROM reach LEFT JOIN n USING (vec_id) GROUP BY vec_id, n_links"""
+
+
 @query
 def op6_suffix_runs(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.digest(suffix_dedup.deduplicated(table(spark, folder, "documents")))
 
 
+ORACLES["op6_suffix_runs"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS bytes FROM documents),
+b AS (SELECT doc_id, unnest(range(0, len(bytes) // 2 - 99, 200)) AS low, bytes FROM d),
+c AS (SELECT doc_id, low, substr(bytes, 2 * low + 1, 598) AS part FROM b),
+w AS (SELECT doc_id, low, unnest(range(len(part) // 2 - 99)) AS i, part FROM c),
+h AS (SELECT doc_id, low + i AS p, row_number() OVER (PARTITION BY substr(part, 2 * i + 1, 200) ORDER BY doc_id, low + i) > 1 AS again FROM w),
+r AS (SELECT doc_id, p, coalesce(p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) > 100, true) AS head FROM h WHERE again),
+g AS (SELECT doc_id, p, sum(head::INT) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM r),
+spans AS (SELECT doc_id, min(p) AS start, max(p) + 100 AS stop FROM g GROUP BY doc_id, run),
+t AS (SELECT doc_id, start, stop, lag(stop, 1, 0) OVER (PARTITION BY doc_id ORDER BY start) AS since FROM spans),
+k AS (SELECT doc_id, count(*) AS n_spans, sum(stop - start) AS n_removed, max(stop) AS stop,
+             string_agg(substr(bytes, 2 * since + 1, 2 * (start - since)), '' ORDER BY start) AS head
+      FROM t JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, len(bytes) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(bytes, 2 * coalesce(stop, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)"""
+
+
 @query
 def op7_recurrent_lm(spark: SparkSession, folder: str) -> DataFrame:
     return lm.scored(table(spark, folder, "documents"))
