@@ -2,16 +2,21 @@
 
 Packing needs only how many pieces there are of each length, at most ``LENGTH`` numbers. On these
 a branch-and-bound search fills one kind of sequence after the other: around the longest piece
-left it lists the fillings that no other filling dominates, takes the fullest first, as often as
-the pieces last, and gives a branch up when its waste rules out a better packing than the best so
-far. The first packing comes from best fit. The kinds of sequences found say which pieces of a
+left it lists fillings by their exact subset sums, the fullest first, leaves out those that another
+one dominates, takes each as often as the pieces last, and gives a branch up when its waste rules
+out a better packing than the best so far. The first packing comes from best fit, and the first
+branch is the fullest filling at every step, which is never given up for want of branches. The kinds of sequences found say which pieces of a
 length, by their rank, go to which sequence and place; ranks are counted in groups of bounded size,
 so that a length that very many pieces share is spread over tasks.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import Counter
+from collections.abc import Iterator
+from itertools import chain, islice
+from operator import neg
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,8 +24,11 @@ from pyspark.sql import functions as F
 from ._store import stored
 from ._tokens import LENGTH, token_pieces
 
-#: Fillings tried at a branch, pieces of a filling that are chosen freely, branches tried in all.
-FILLINGS, CHOSEN, BRANCHES = 12, 3, 3000
+#: Fillings followed at a branch, fillings looked at for each of them, branches in all: parameters
+#: of ``complete``. They bound the search, not the pieces: every packing found holds all of them.
+FILLINGS, LOOKED_AT, BRANCHES = 12, 8, 1000
+#: Fillings that differ in more pieces are not compared.
+COMPARED = 12
 #: Pieces of one length that are ranked together, at least.
 GROUP = 500
 
@@ -58,35 +66,67 @@ def fittest(counts: dict[int, int], room: int) -> list[int]:
     return out
 
 
-def fillings(counts: dict[int, int], room: int) -> list[tuple[int, ...]]:
-    """Fillings of ``room`` that no other one found dominates, the fullest first.
-
-    Up to ``CHOSEN`` pieces are chosen freely, the rest by best fit. Of two fillings whose chosen
-    pieces can be placed inside each other's, the one with the longer pieces dominates: so each
-    choice but the last goes down the lengths, and the last takes the longest that fits.
+def subset_sums(lengths: list[int], counts: dict[int, int], room: int) -> list[int]:
+    """For each place in ``lengths`` a number whose bit ``n`` says that pieces from there on can fill ``n``."""
+    mask, sums = (1 << (room + 1)) - 1, [1]
+    for n in reversed(lengths):
+        reach, copies, step = sums[-1], min(counts[n], room // n), 1
+        while copies:
+            step = min(step, copies)
+            reach |= reach << (n * step) & mask
+            copies, step = copies - step, 2 * step
+        sums.append(reach)
+    return sums[::-1]
+
+
+def exactly(lengths: list[int], counts: dict[int, int], sums: list[int], total: int, start: int = 0) -> Iterator[tuple[int, ...]]:
+    """Fillings of just ``total``, those with the longest pieces first."""
+    if not total:
+        yield ()
+        return
+    for i in range(bisect_left(lengths, -total, start, key=neg), len(lengths)):
+        if not sums[i] >> total & 1:
+            return
+        n = lengths[i]
+        for copies in range(min(counts[n], total // n), 0, -1):
+            if sums[i + 1] >> (total - copies * n) & 1:
+                for rest in exactly(lengths, counts, sums, total - copies * n, i + 1):
+                    yield (n,) * copies + rest
+
+
+def dominates(one: tuple[int, ...], other: tuple[int, ...]) -> bool:
+    """Whether the pieces of ``other`` can be placed inside those of ``one``, which so can stand for it."""
+    own, rest = Counter(one), Counter(other)
+    rooms = sorted((own - rest).elements())
+    pieces = sorted((rest - own).elements(), reverse=True)
+    if sum(pieces) > sum(rooms) or len(pieces) > COMPARED:
+        return False
+
+    def placed(i: int, rooms: tuple[int, ...]) -> bool:
+        if i == len(pieces):
+            return True
+        fitting = {r: j for j, r in enumerate(rooms) if r >= pieces[i]}
+        return any(placed(i + 1, tuple(sorted((*rooms[:j], r - pieces[i], *rooms[j + 1 :])))) for r, j in fitting.items())
+
+    return placed(0, tuple(rooms))
+
+
+def fillings(counts: dict[int, int], room: int, least: int = 0, width: int = FILLINGS) -> Iterator[tuple[int, ...]]:
+    """Up to ``width`` fillings of at least ``least`` that none before dominates, the fullest first.
+
+    A filling can dominate only those that are no fuller and, if as full, have the shorter pieces:
+    those come later. So each is compared with the ones before it alone.
     """
     lengths = sorted((n for n, c in counts.items() if c and n <= room), reverse=True)
-    if not lengths:
-        return [()]
-    found: dict[tuple[int, ...], None] = {}
-
-    def choose(chosen: list[int], left: int, start: int, depth: int) -> bool:
-        fitting = [n for n in lengths[start:] if n <= left][: FILLINGS if depth else 2 * FILLINGS]
-        fitting = [n for n in fitting if chosen.count(n) < counts[n]]
-        if not fitting or depth == CHOSEN:
-            own = Counter(chosen)
-            more = fittest({n: counts[n] - own[n] for n in lengths if n <= left}, left) if left else []
-            full = tuple(sorted(chosen + more, reverse=True))
-            found[full] = None
-            return sum(full) == room
-        exact = left in counts and chosen.count(left) < counts[left]
-        for n in [left] if exact else fitting:
-            if choose([*chosen, n], left - n, lengths.index(n), depth + 1) and len(found) >= FILLINGS:
-                return True
-        return exact
-
-    choose([], room, 0, 0)
-    return sorted(found, key=lambda f: (-sum(f), len(f), tuple(-n for n in f)))[:FILLINGS]
+    sums = subset_sums(lengths, counts, room)
+    full = (total for total in range(sums[0].bit_length() - 1, max(least, 0) - 1, -1) if sums[0] >> total & 1)
+    found: list[tuple[int, ...]] = []
+    for filling in islice(chain.from_iterable(exactly(lengths, counts, sums, total) for total in full), width * LOOKED_AT):
+        if not any(dominates(other, filling) for other in found):
+            found.append(filling)
+            yield filling
+            if len(found) == width:
+                return
 
 
 def best_fit(counts: dict[int, int], size: int) -> list[Kind]:
@@ -111,41 +151,43 @@ def spend(left: dict[int, int], kind: tuple[int, ...]) -> int:
     return times
 
 
-def complete(counts: dict[int, int], size: int = LENGTH) -> list[Kind]:
+def complete(counts: dict[int, int], size: int = LENGTH, branches: int = BRANCHES, width: int = FILLINGS) -> list[Kind]:
     """Kinds of sequences, each with how many there are of it, that hold all pieces."""
     counts = {n: c for n, c in counts.items() if c}
     best = best_fit(counts, size)
     fewest, least = sum(t for _, t in best), lower_bound(counts, size)
     total = sum(n * c for n, c in counts.items())
-    # A branch: what is left, kinds so far, their number and waste.
-    open_ = [(counts, (), 0, 0)]
-    for _ in range(BRANCHES * (1 + len(counts) // 64)):
-        if not open_ or fewest <= least:
-            break
-        left, kinds, used, waste = open_.pop()
-        if waste > (fewest - 1) * size - total:
-            continue
-        if not left:
-            if used < fewest:
-                fewest, best = used, unwound(kinds)
-            continue
+
+    def branch(left: dict[int, int], waste: int) -> Iterator[tuple[int, ...]]:
         top = max(left)
+        spare = (fewest - 1) * size - total - waste
         own = {n: c - (n == top) for n, c in left.items()}
-        for filling in reversed(fillings(own, size - top)):
-            kind, rest = (top, *filling), dict(left)
-            times = spend(rest, kind)
-            open_.append((rest, ((kind, times), kinds), used + times, waste + times * (size - sum(kind))))
+        return ((top, *filling) for filling in fillings(own, size - top, size - top - spare, width))
+
+    # What is left at each open branch, its number of sequences and waste, and its ways on; the kinds that led there.
+    open_, kinds = [(counts, 0, 0, branch(counts, 0))] if counts else [], []
+    tried = 0
+    while open_ and fewest > least and tried < branches + len(counts):
+        left, used, waste, ways = open_[-1]
+        del kinds[len(open_) - 1 :]
+        kind = next(ways, None)
+        if kind is None:
+            open_.pop()
+            continue
+        tried += 1
+        rest = dict(left)
+        times = spend(rest, kind)
+        used, waste = used + times, waste + times * (size - sum(kind))
+        if waste > (fewest - 1) * size - total:
+            continue
+        kinds.append((kind, times))
+        if rest:
+            open_.append((rest, used, waste, branch(rest, waste)))
+        else:
+            fewest, best = used, kinds[:]
     return best
 
 
-def unwound(kinds: tuple) -> list[Kind]:
-    out = []
-    while kinds:
-        last, kinds = kinds
-        out.append(last)
-    return out[::-1]
-
-
 def places(kinds: list[Kind]) -> list[tuple[int, int, int, int, int, int]]:
     """For each length: pieces of rank ``low`` to ``high`` go ``each`` to a sequence from ``first`` on, at ``at``."""
     out, rank, first = [], Counter(), 0

@@ -1,6 +1,7 @@
 """Packing, training order, contamination, language model and the pipeline."""
 
 import math
+import itertools
 import random
 import zlib
 from collections import Counter
@@ -58,6 +59,41 @@ def test_many_pieces_reach_the_bound():
     assert sum(t for _, t in kinds) <= packing.lower_bound(counts, 1024) * 1.001
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_packing_is_no_worse_than_the_fullest_filling_at_each_step(seed):
+    rng = random.Random(seed)
+    counts = Counter(rng.randint(300, 345) if rng.random() < 0.5 else rng.randint(200, 520) for _ in range(200))
+    left, steps = Counter(counts), 0
+    while left := +left:
+        top = max(left)
+        left[top] -= 1
+        made = {0: ()}
+        for n in sorted(left.elements(), reverse=True):
+            made |= {s + n: (*f, n) for s, f in made.items() if s + n <= 1024 - top and s + n not in made}
+        left.subtract(made[max(made)])
+        steps += 1
+    kinds = packing.complete(dict(counts), 1024)
+    assert sum((Counter({n: k * t for n, k in Counter(kind).items()}) for kind, t in kinds), Counter()) == counts
+    assert sum(t for _, t in kinds) <= steps + 1
+    assert sum(t for _, t in kinds) < sum(t for _, t in packing.best_fit(counts, 1024))
+
+
+def test_fillings_are_those_that_none_before_dominates():
+    counts, room = {9: 1, 7: 1, 6: 1, 5: 2, 4: 1, 2: 2}, 11
+    pieces = [n for n, c in counts.items() for _ in range(c)]
+    every = {tuple(sorted(c, reverse=True)) for k in range(8) for c in itertools.combinations(pieces, k) if sum(c) <= room}
+
+    def parts_fit(other, rooms):
+        if not other:
+            return True
+        return any(parts_fit(other[1:], [*rooms[:j], r - other[0], *rooms[j + 1 :]]) for j, r in enumerate(rooms) if r >= other[0])
+
+    best = {f for f in every if not any(g != f and parts_fit(f, list(g)) for g in every)}
+    assert all(packing.dominates(g, f) == parts_fit(f, list(g)) for g in every for f in every)
+    assert set(packing.fillings(counts, room, width=1000)) == best
+    assert list(packing.fillings(counts, room, least=room)) == [f for f in packing.fillings(counts, room, width=1000) if sum(f) == room]
+
+
 def packed_rows(spark, docs):
     rows = packing.packed(docs).toPandas().sort_values(["sequence_id", "offset"]).reset_index(drop=True)
     first = rows.groupby("sequence_id").length.cumsum() - rows.length
