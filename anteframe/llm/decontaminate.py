@@ -3,12 +3,15 @@
 Fingerprints are the least of each ``WINDOW - GRAM + 1`` consecutive hashes of ``GRAM`` words, so
 every shared run of ``WINDOW`` words has one at the same place of the run, on both sides. Training
 fingerprints meet those of the benchmark by a lookup in a sorted table; each hit is then extended
-to the windows around it by comparing their words. Items shorter than a window are looked up
-whole: their fingerprint is the hash of all their words, at each place of a text.
+to the windows around it, which are looked up among the distinct windows of the benchmark and
+compared word by word. Items shorter than a window are looked up whole: their fingerprint is the
+hash of all their words, at each place of a text. A window that many items share is held once, next
+to the list of its items, so a hit costs the same however many there are.
 
 The benchmark goes to the tasks in blocks of at most about ``BLOCK_WORDS`` words. One block is the
 common case: one pass over the texts, nothing is shuffled. With more blocks each has its pass, and
-what they found is put together by doc_id.
+what they found is put together by doc_id. Items longer than ``ITEM_WORDS`` words are cut into parts
+that overlap by a window less one word, so no item is larger than a block.
 """
 
 from __future__ import annotations
@@ -27,6 +30,10 @@ WINDOW = 10
 GRAM = 5
 #: Words of benchmark items that a task holds at a time, about 100 MB.
 BLOCK_WORDS = 4_000_000
+#: Words of an item that stay together.
+ITEM_WORDS = 100_000
+#: Pairs of a document's window and an item that are listed at a time.
+LISTED = 1 << 20
 
 SPANS = "array<struct<start:bigint,stop:bigint>>"
 
@@ -64,54 +71,73 @@ class Items:
     def __init__(self, ids: list[str | None], texts: list[str | None]) -> None:
         data, off = text_bytes(pa.array(texts, pa.string()))
         words = Words(data, off, NOT_ALNUM)
-        self.ids, self.hash, self.off = ids, words.hash, words.off
-        self.item = np.repeat(np.arange(len(ids)), words.counts)
-        counts = words.counts
-        #: For each number of words of a window: sorted fingerprints and their places.
-        self.tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for k in sorted({min(int(c), WINDOW) for c in counts if c}):
+        self.ids, self.hash = ids, words.hash
+        item = np.repeat(np.arange(len(ids)), words.counts)
+        #: For each number of words of a window: hashes of the distinct windows, sorted, a place of each, and where they are numbered from.
+        self.tables: dict[int, tuple[np.ndarray, np.ndarray, int]] = {}
+        self.prints = np.zeros(0, np.uint64)
+        lists, ends, known = [], [np.zeros(1, np.int64)], 0
+        for k in sorted({min(int(c), WINDOW) for c in words.counts if c}):
             if k == WINDOW:
+                starts = run_starts(words.off, WINDOW)
                 grams = run_hash(self.hash, GRAM)
-                at = winnowed(grams, run_starts(self.off, WINDOW))
-                found = grams[at]
+                self.prints = np.unique(grams[winnowed(grams, starts)])
             else:
-                at = self.off[:-1][counts == k]
-                found = run_hash(self.hash, k)[at]
-            order = np.argsort(found, kind="stable")
-            self.tables[k] = found[order], at[order]
+                starts = words.off[:-1][words.counts == k]
+            windows, place, of = np.unique(run_hash(self.hash, k)[starts], return_index=True, return_inverse=True)
+            self.tables[k] = windows, starts[place], known
+            # Each window with each of its items once.
+            order = np.lexsort((item[starts], of))
+            of, mine = of[order], item[starts][order]
+            new = np.ones(len(of), bool)
+            new[1:] = (of[1:] != of[:-1]) | (mine[1:] != mine[:-1])
+            lists.append(mine[new])
+            ends.append(ends[-1][-1] + np.cumsum(np.bincount(of[new], minlength=len(windows))))
+            known += len(windows)
+        self.lists = np.concatenate(lists) if lists else np.zeros(0, np.int64)
+        #: Where the items of each window begin in ``lists``, and where the last ones end.
+        self.bounds = np.concatenate(ends)
 
     def hits(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Start, size and item of each window of a text that occurs in an item."""
-        start, size, item = [], [], []
-        for k, (table, places) in self.tables.items():
-            starts = run_starts(words.off, k)
+        """Start, size and number of each window of a text that occurs in an item, one row for each start and size."""
+        start, size, number = [], [], []
+        for k, (windows, places, first) in self.tables.items():
+            at = run_starts(words.off, k)
             if k == WINDOW:
+                valid = np.zeros(len(words.hash) + 1, bool)
+                valid[at] = True
                 grams = run_hash(words.hash, GRAM)
-                at = winnowed(grams, starts)
-                found = grams[at]
-            else:
-                at = starts
-                found = run_hash(words.hash, k)[at]
-            low = np.searchsorted(table, found)
-            at, found, low = (x[table[np.minimum(low, len(table) - 1)] == found] for x in (at, found, low))
-            n = np.searchsorted(table, found, "right") - low
-            mine = np.repeat(at, n)
-            theirs = places[np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-            valid = np.zeros(len(words.hash) + 1, bool)
-            valid[starts] = True
-            for back in range(WINDOW - GRAM + 1 if k == WINDOW else 1):
-                fit = (mine >= back) & (theirs >= back)
-                a, b, of = mine[fit] - back, theirs[fit] - back, self.item[theirs[fit]]
-                fit = valid[a] & (self.item[b] == of) & (b + k <= self.off[1:][of])
-                a, b = a[fit], b[fit]
-                same = np.ones(len(a), bool)
-                for j in range(k):
-                    same &= words.hash[a + j] == self.hash[b + j]
-                start.append(a[same])
-                size.append(np.full(same.sum(), k))
-                item.append(self.item[b[same]])
+                at = winnowed(grams, at)
+                low = np.minimum(np.searchsorted(self.prints, grams[at]), len(self.prints) - 1)
+                at = at[self.prints[low] == grams[at]]
+                around = np.unique(at[:, None] - np.arange(WINDOW - GRAM + 1))
+                around = around[around >= 0]
+                at = around[valid[around]]
+            if not len(at):
+                continue
+            found = run_hash(words.hash, k)[at]
+            low = np.minimum(np.searchsorted(windows, found), len(windows) - 1)
+            same = windows[low] == found
+            at, low = at[same], low[same]
+            same = np.ones(len(at), bool)
+            for j in range(k):
+                same &= words.hash[at + j] == self.hash[places[low] + j]
+            start.append(at[same])
+            size.append(np.full(same.sum(), k))
+            number.append(first + low[same])
         none = np.zeros(0, np.int64)
-        return tuple(np.concatenate(x) if x else none for x in (start, size, item))
+        return tuple(np.concatenate(x) if x else none for x in (start, size, number))
+
+    def named(self, rows: np.ndarray, windows: np.ndarray) -> np.ndarray:
+        """Distinct pairs of a row and an item in which one of the row's windows occurs; lists of bounded size at a time."""
+        pairs = np.unique(np.stack((rows, windows), 1), axis=0)
+        n = self.bounds[pairs[:, 1] + 1] - self.bounds[pairs[:, 1]]
+        done = np.zeros((0, 2), np.int64)
+        cuts = np.flatnonzero(np.diff(np.cumsum(n) // LISTED)) + 1
+        for part, m in zip(np.split(pairs, cuts), np.split(n, cuts), strict=True):
+            item = self.lists[np.repeat(self.bounds[part[:, 1]] - np.cumsum(m) + m, m) + np.arange(m.sum())]
+            done = np.unique(np.concatenate((done, np.stack((np.repeat(part[:, 0], m), item), 1))), axis=0)
+        return done
 
 
 def scan(docs: DataFrame, items: Items | None, only_hit: bool = False) -> DataFrame:
@@ -122,7 +148,7 @@ def scan(docs: DataFrame, items: Items | None, only_hit: bool = False) -> DataFr
         for batch in pieces(batches, "text"):
             data, off = text_bytes(batch.column("text"))
             words = Words(data, off, NOT_ALNUM)
-            start, size, item = items.hits(words) if items else (np.zeros(0, np.int64),) * 3
+            start, size, window = items.hits(words) if items else (np.zeros(0, np.int64),) * 3
             depth = np.zeros(len(words.hash) + 1, np.int64)
             np.add.at(depth, start, 1)
             np.add.at(depth, start + size, -1)
@@ -139,7 +165,7 @@ def scan(docs: DataFrame, items: Items | None, only_hit: bool = False) -> DataFr
                 rows[r].append({"start": a - base, "stop": z - base})
             names: list[set[str]] = [set() for _ in range(batch.num_rows)]
             if len(of):
-                for r, i in np.unique(np.stack((of, item), 1), axis=0).tolist():
+                for r, i in items.named(of, window).tolist():
                     if items.ids[i] is not None:
                         names[r].add(items.ids[i])
             out = pa.record_batch(
@@ -154,6 +180,13 @@ def scan(docs: DataFrame, items: Items | None, only_hit: bool = False) -> DataFr
 def blocks(benchmark: DataFrame, item_id: str, text: str) -> Callable[[], Iterator[Items]]:
     """The benchmark as blocks that fit a task."""
     rows = benchmark.select(F.col(item_id).cast("string").alias("item_id"), F.col(text).alias("text"))
+    # Equal rows say the same; a long item is cut where the next part begins a window less one word earlier.
+    words = F.regexp_extract_all("text", F.lit(r"([^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+)"))
+    first = F.sequence(F.lit(1), F.greatest(F.size("words") - (WINDOW - 1), F.lit(1)), F.lit(ITEM_WORDS))
+    part = F.array_join(F.slice("words", F.col("first"), F.lit(ITEM_WORDS + WINDOW - 1)), " ")
+    long = F.coalesce(F.length("text"), F.lit(0)) > 2 * ITEM_WORDS
+    cut = rows.where(long).select("item_id", words.alias("words")).select("item_id", "words", F.explode(first).alias("first"))
+    rows = rows.where(~long).unionByName(cut.select("item_id", part.alias("text"))).distinct()
     size = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first().n
     n = -(-size // (4 * BLOCK_WORDS)) or 1
 

@@ -1,18 +1,21 @@
 """Packing, training order, contamination, language model and the pipeline."""
 
-import math
 import itertools
+import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from parity import connect, difference
 
 import corpus_pipeline
 from anteframe.llm import decontaminate, lm, packing, token_output
 from anteframe.llm._store import stored
+from anteframe.llm._text import NOT_ALNUM, Words, text_bytes
 from anteframe.llm._tokens import END, Encoder, default_files
 from anteframe.llm.queries import ORACLES, QUERIES
 
@@ -185,9 +188,36 @@ def brute_hits(texts, items):
     return sorted(out, key=repr)
 
 
+def test_equal_items_cost_no_more_than_one(spark):
+    passage = " ".join(f"w{i}" for i in range(12))
+    data, off = text_bytes(pa.array([f"{passage} " * 3000, passage, "w0 w1"]))
+    words = Words(data, off, NOT_ALNUM)
+    many = decontaminate.Items([str(i) for i in range(20_000)], [passage] * 20_000)
+    tracemalloc.start()
+    start, size, window = many.hits(words)
+    rows = np.searchsorted(words.off, start, "right") - 1
+    named = many.named(rows, window)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(start) == 3 * 3001 and (size == 10).all() and sorted(set(window.tolist())) == [0, 1, 2]
+    assert len(named) == 2 * 20_000 and named[:, 0].max() == 1
+    assert peak < 50_000_000
+
+
+def test_a_long_item_has_all_its_windows(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "ITEM_WORDS", 7)
+    text = "ünd, ".join(f"A{i}b" for i in range(63))
+    bench = spark.createDataFrame([(1, text), (1, text)], "item_id long, text string")
+    docs = spark.createDataFrame([(0, text.lower()), (1, text[:20])], "doc_id long, text string")
+    got = decontaminate.contamination(docs, bench).orderBy("doc_id").collect()
+    assert [(r.n_words, [tuple(s) for s in r.spans], r["items"]) for r in got] == [(63, [(0, 63)], ["1"]), (3, [], [])]
+
+
 @pytest.mark.parametrize("block", [4_000_000, 40])
 def test_contamination(spark, monkeypatch, odd_docs, no_docs, block):
     monkeypatch.setattr(decontaminate, "BLOCK_WORDS", block)
+    monkeypatch.setattr(decontaminate, "ITEM_WORDS", min(block, 100_000) // 3)
+    monkeypatch.setattr(decontaminate, "LISTED", block)
     rng = random.Random(8)
     words = [f"w{i}" for i in range(9)]
     items = [(i, " ".join(rng.choices(words, k=rng.choice([0, 1, 3, 4, 9, 10, 11, 14, 30])))) for i in range(40)]
