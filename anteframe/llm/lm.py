@@ -33,16 +33,21 @@ WORDS, CLASSES, ENDINGS = 4096, 64, 64
 #: Words whose counts all tasks hold.
 POPULAR = 65_536
 EMBEDDING, STATE = 24, 32
-#: Streams and steps of a training window.
+#: Streams and steps of a training window. Where a task has tokens for more than ``WINDOWS`` of these, it
+#: takes more streams, at most ``WIDEST``, and longer steps in proportion.
 STREAMS, WINDOW = 64, 20
+WINDOWS, WIDEST = 150, 256
 #: Slopes far below ``CALM`` hardly move a weight: few tokens say little about a rare word.
 RATE, MERGED, CALM = 4e-3, 8, 1e-4
 #: Rounds at least; further ones are the cube root of how often so many tokens are there.
 ROUNDS, ROUND_TOKENS = 2, 500_000
-#: Tokens scored together, at least; a longer document is whole.
-TOGETHER = 800_000
+#: Tokens learned from or scored together, at least; a longer document is whole.
+TOGETHER = 1_600_000
 #: States that are turned into predictions at once, at least.
 PREDICTED = 8192
+#: States that are turned into slopes at once, and weights that are moved at once.
+SLOPED = 1280
+BLOCK = 1 << 16
 
 END = np.uint64(0xE0F0E0F0E0F0E0F0)
 
@@ -108,9 +113,9 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
         return at, self.hashes[at] == hashes
 
-    def numbered(self, hashes: np.ndarray, ending: np.ndarray) -> np.ndarray:
-        """Number of a word predicted by itself, or ``WORDS`` plus its ending."""
-        at, known = self.find(hashes)
+    def numbered(self, hashes: np.ndarray, ending: np.ndarray, found: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+        """Number of a word predicted by itself, or ``WORDS`` plus its ending. ``found``: what ``find`` gave, if known."""
+        at, known = found or self.find(hashes)
         number = np.where(known, self.numbers[at] if len(self.numbers) else 0, -1)
         return np.where(number >= 0, number, WORDS + ending)
 
@@ -175,18 +180,24 @@ def start(v: Vocabulary) -> np.ndarray:
     return flat
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
-
-
 def step(p: dict, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
     """One step of the network for inputs already multiplied: state, gates, candidate, its recurrent part."""
     rec = h @ p["u"]
-    gates = sigmoid(x[:, : 2 * STATE] + rec[:, : 2 * STATE])
+    # The sigmoid of the gates, by way of tanh.
+    gates = x[:, : 2 * STATE] + rec[:, : 2 * STATE]
+    gates *= 0.5
+    np.tanh(gates, out=gates)
+    gates *= 0.5
+    gates += 0.5
     r, z = gates[:, :STATE], gates[:, STATE:]
     part = rec[:, 2 * STATE :]
-    candidate = np.tanh(x[:, 2 * STATE :] + r * part)
-    return candidate + z * (h - candidate), r, z, candidate, part
+    candidate = r * part
+    candidate += x[:, 2 * STATE :]
+    np.tanh(candidate, out=candidate)
+    new = h - candidate
+    new *= z
+    new += candidate
+    return new, r, z, candidate, part
 
 
 def class_of(number: np.ndarray) -> np.ndarray:
@@ -198,110 +209,206 @@ def log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
 
+def large(x: np.ndarray) -> bool:
+    """Whether an exponential might not hold an entry: far from that, as trained weights are, no row needs its own maximum."""
+    return bool(len(x)) and max(x.max(), -x.min()) > 60
+
+
 def chosen_log(x: np.ndarray, at: np.ndarray) -> np.ndarray:
     """One entry of each row of ``log_softmax``; ``x`` is overwritten."""
     rows = np.arange(len(x))
-    # Far from what an exponential can hold, as trained weights are, no row needs its own maximum.
-    if np.abs(x).max(initial=0) > 60:
+    if large(x):
         return log_softmax(x)[rows, at]
     own = x[rows, at]
-    return own - np.log(np.exp(x, out=x).sum(axis=1))
+    return own - np.log(np.exp(x, out=x) @ np.ones(x.shape[1], x.dtype))
+
+
+def chosen_slope(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Shares of a softmax less one for the entry that came, in place of ``x``."""
+    if large(x):
+        x -= x.max(axis=1, keepdims=True)
+    np.exp(x, out=x)
+    x *= (1 / (x @ np.ones(x.shape[1], x.dtype)))[:, None]
+    x[np.arange(len(x)), at] -= 1
+    return x
+
+
+def class_logits(p: dict, h: np.ndarray) -> np.ndarray:
+    x = h @ p["class_w"]
+    x += p["class_b"] - p["class_b"].max()
+    return x
+
+
+def word_logits(p: dict, h: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]], np.ndarray, np.ndarray]:
+    """Tokens predicted by themselves in order of their classes, each class with its run, their states and logits."""
+    order = np.argsort(kind.astype(np.uint8), kind="stable")
+    ends = np.searchsorted(kind[order], np.arange(CLASSES + 1)).tolist()
+    runs = [(c, slice(ends[c], ends[c + 1])) for c in range(CLASSES) if ends[c] < ends[c + 1]]
+    order = order[: ends[-1]]
+    h = h[order]
+    x = np.empty((len(h), WORDS // CLASSES), np.result_type(h, p["word_w"]))
+    bias = p["word_b"] - p["word_b"].max(axis=1, keepdims=True)
+    for c, run in runs:
+        own = x[run]
+        np.matmul(h[run], p["word_w"][c], out=own)
+        own += bias[c]
+    return order, runs, h, x
 
 
 def predictions(p: dict, h: np.ndarray, number: np.ndarray, grad: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
     """Natural logarithm of each token's probability after its state; with ``grad`` the slopes too."""
     kind = class_of(number)
-    rows = np.arange(len(h))
-    logits = h @ p["class_w"] + (p["class_b"] - p["class_b"].max())
-    back = None
-    if grad is None:
-        out = chosen_log(logits, kind).astype(np.float64)
-    else:
-        logs = log_softmax(logits)
-        out = logs[rows, kind].astype(np.float64)
-        d = np.exp(logs)
-        d[rows, kind] -= 1
-        grad["class_w"] += h.T @ d
-        grad["class_b"] += d.sum(axis=0)
-        back = d @ p["class_w"].T
-    order = np.argsort(kind, kind="stable")
-    ends = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-    for c in np.flatnonzero(np.diff(ends)):
-        own = order[ends[c] : ends[c + 1]]
-        word = number[own] - c * (WORDS // CLASSES)
-        logits = h[own] @ p["word_w"][c] + (p["word_b"][c] - p["word_b"][c].max())
-        if grad is None:
-            out[own] += chosen_log(logits, word)
-        else:
-            logs = log_softmax(logits)
-            out[own] += logs[np.arange(len(own)), word]
-            d = np.exp(logs)
-            d[np.arange(len(own)), word] -= 1
-            grad["word_w"][c] += h[own].T @ d
-            grad["word_b"][c] += d.sum(axis=0)
-            back[own] += d @ p["word_w"][c].T
-    return out, back
+    out = chosen_log(class_logits(p, h), kind).astype(np.float64)
+    order, _, _, x = word_logits(p, h, kind)
+    out[order] += chosen_log(x, number[order] % (WORDS // CLASSES))
+    return out, None if grad is None else slopes(p, h, number, grad)
+
+
+def slopes(p: dict, h: np.ndarray, number: np.ndarray, grad: dict) -> np.ndarray:
+    """Slopes of the tokens' loss by their states; those by the weights go into ``grad``, which holds zeros."""
+    kind = class_of(number)
+    ones, back = np.ones(len(h), h.dtype), np.empty_like(h)
+    for at in range(0, len(h), SLOPED):
+        run = slice(at, at + SLOPED)
+        d = chosen_slope(class_logits(p, h[run]), kind[run])
+        grad["class_w"] += h[run].T @ d
+        grad["class_b"] += ones[run] @ d
+        np.matmul(d, p["class_w"].T, out=back[run])
+    order, runs, h, x = word_logits(p, h, kind)
+    d = chosen_slope(x, number[order] % (WORDS // CLASSES))
+    own = np.empty_like(h)
+    word_w, grad_w, grad_b = p["word_w"].transpose(0, 2, 1), grad["word_w"], grad["word_b"]
+    for c, run in runs:
+        slope = d[run]
+        np.matmul(h[run].T, slope, out=grad_w[c])
+        np.matmul(ones[run], slope, out=grad_b[c])
+        np.matmul(slope, word_w[c], out=own[run])
+    back[order] += own
+    return back
+
+
+def descend(flat: np.ndarray, grad: np.ndarray, m: np.ndarray, v: np.ndarray, n: int, share: float, rate: float = RATE) -> None:
+    """The n-th step of Adam along ``share`` of the slopes, in place, in blocks that stay in a core's cache."""
+    seen, spread = 1 - 0.9**n, (1 - 0.99**n) ** 0.5
+    room = np.empty(min(BLOCK, len(flat)), flat.dtype)
+    for at in range(0, len(flat), BLOCK):
+        w, g, a, b = flat[at : at + BLOCK], grad[at : at + BLOCK], m[at : at + BLOCK], v[at : at + BLOCK]
+        t = room[: len(w)]
+        np.multiply(g, 0.1 * share, out=t)
+        a *= 0.9
+        a += t
+        t *= t
+        b *= 0.99
+        b += t
+        np.sqrt(b, out=t)
+        t += CALM * spread
+        np.divide(a, t, out=t)
+        t *= rate * spread / seen
+        w -= t
+
+
+def streams_of(tokens_: int) -> int:
+    return min(WIDEST, max(STREAMS, tokens_ // (WINDOW * WINDOWS)))
 
 
 def train(flat: np.ndarray, numbers: np.ndarray) -> np.ndarray:
-    """Weights after one pass over all the tokens: truncated backpropagation with Adam."""
+    """Weights after one pass over all the tokens: truncated backpropagation with Adam.
+
+    Only what needs the state before goes step by step, in arrays that all windows share and in which
+    a step's cells lie together (step, cell, stream); all else is one product for a window.
+    """
     flat = flat.copy()
     p = views(flat)
     grad_flat = np.zeros_like(flat)
     grad = views(grad_flat)
     m, v = np.zeros_like(flat), np.zeros_like(flat)
-    streams = min(STREAMS, max(1, len(numbers) // WINDOW))
+    wide = streams_of(len(numbers))
+    streams, rate = min(wide, max(1, len(numbers) // WINDOW)), RATE * wide / STREAMS
     # Where the tokens cannot be dealt evenly, some streams end one place before the others.
     bounds = len(numbers) * np.arange(streams + 1) // streams
     length = -(-len(numbers) // streams)
-    places = bounds[:-1, None] + np.arange(length)
-    there = places < bounds[1:, None]
+    places = bounds[:-1] + np.arange(length)[:, None]
+    there = places < bounds[1:]
     rows = np.where(there, numbers[np.minimum(places, len(numbers) - 1)], 0) if len(numbers) else places
-    h = np.zeros((streams, STATE), np.float32)
     last = np.zeros(streams, np.int64)
+
+    def room(cells: int) -> np.ndarray:
+        return np.empty((WINDOW, cells, streams), np.float32)
+
+    before, part, candidate, states = (room(STATE) for _ in range(4))
+    gates, slope = room(2 * STATE), room(3 * STATE)
+    h, x, rec = np.zeros((STATE, streams), np.float32), np.empty((3 * STATE, streams), np.float32), np.empty((3 * STATE, streams), np.float32)
+    carry, kept, d_candidate, some = (np.empty((STATE, streams), np.float32) for _ in range(4))
+    given = np.ones((WINDOW, streams, EMBEDDING + 1), np.float32)
     for n, at in enumerate(range(0, length, WINDOW), 1):
-        target = rows[:, at : at + WINDOW]
-        own = there[:, at : at + WINDOW].reshape(-1)
-        inputs = np.concatenate((last[:, None], target[:, :-1]), axis=1)
-        last = target[:, -1]
-        t = target.shape[1]
-        x = (p["embedding"][inputs] @ p["w"] + p["b"]).astype(np.float32)
-        kept = []
+        target = rows[at : at + WINDOW]
+        own = np.flatnonzero(there[at : at + WINDOW])
+        inputs = np.concatenate((last[None], target[:-1]))
+        last = target[-1]
+        t = len(target)
+        given[:t, :, :EMBEDDING] = p["embedding"][inputs]
+        # Number 0 is the end: the next document begins without a past.
+        fresh = (inputs != 0).astype(np.float32)
+        w, u = np.ascontiguousarray(np.concatenate((p["w"], p["b"][None])).T), np.ascontiguousarray(p["u"].T)
         for i in range(t):
-            # Number 0 is the end: the next document begins without a past.
-            fresh = (inputs[:, i] != 0).astype(np.float32)[:, None]
-            h = h * fresh
-            before = h
-            h, r, z, candidate, part = step(p, x[:, i], h)
-            kept.append((before, r, z, candidate, part, fresh, h))
-        states = np.stack([k[6] for k in kept], axis=1).reshape(-1, STATE)
+            past, gate, now = before[i], gates[i], candidate[i]
+            np.multiply(h, fresh[i], out=past)
+            np.matmul(w, given[i].T, out=x)
+            np.matmul(u, past, out=rec)
+            np.add(x[: 2 * STATE], rec[: 2 * STATE], out=gate)
+            # The sigmoid by way of tanh.
+            gate *= 0.5
+            np.tanh(gate, out=gate)
+            gate *= 0.5
+            gate += 0.5
+            part[i] = rec[2 * STATE :]
+            np.multiply(gate[:STATE], part[i], out=now)
+            now += x[2 * STATE :]
+            np.tanh(now, out=now)
+            h = states[i]
+            np.subtract(past, now, out=h)
+            h *= gate[STATE:]
+            h += now
         grad_flat[:] = 0
-        back = np.zeros_like(states)
-        _, back[own] = predictions(p, states[own], target.reshape(-1)[own], grad)
-        back = back.reshape(streams, t, STATE)
-        carry = np.zeros((streams, STATE), np.float32)
-        dx = np.zeros((streams, t, 3 * STATE), np.float32)
+        back = np.zeros((t * streams, STATE), np.float32)
+        back[own] = slopes(p, np.ascontiguousarray(states[:t].transpose(0, 2, 1)).reshape(-1, STATE)[own], target.reshape(-1)[own], grad)
+        back = np.ascontiguousarray(back.reshape(t, streams, STATE).transpose(0, 2, 1))
+        by_u = np.zeros((3 * STATE, STATE), np.float32)
         for i in range(t - 1, -1, -1):
-            before, r, z, candidate, part, fresh, _ = kept[i]
-            d = back[:, i] + carry
-            d_candidate = d * (1 - z) * (1 - candidate**2)
-            d_z = d * (before - candidate) * z * (1 - z)
-            d_r = d_candidate * part * r * (1 - r)
-            dx[:, i] = np.concatenate((d_r, d_z, d_candidate), axis=1)
-            d_rec = np.concatenate((d_r, d_z, d_candidate * r), axis=1)
-            grad["u"] += before.T @ d_rec
-            carry = (d * z + d_rec @ p["u"].T) * fresh
-        flat_x = dx.reshape(-1, 3 * STATE)
-        grad["w"] += p["embedding"][inputs.reshape(-1)].T @ flat_x
-        grad["b"] += flat_x.sum(axis=0)
-        np.add.at(grad["embedding"], inputs.reshape(-1), flat_x @ p["w"].T)
-        grad_flat /= own.sum()
-        norm = np.linalg.norm(grad_flat)
-        if norm > 1:
-            grad_flat /= norm
-        m += 0.1 * (grad_flat - m)
-        v += 0.01 * (grad_flat**2 - v)
-        flat -= RATE * (m / (1 - 0.9**n)) / (np.sqrt(v / (1 - 0.99**n)) + CALM)
+            d, r, z, now = back[i], gates[i, :STATE], gates[i, STATE:], candidate[i]
+            d_r, d_z, d_past = slope[i, :STATE], slope[i, STATE : 2 * STATE], slope[i, 2 * STATE :]
+            if i + 1 < t:
+                d += carry
+            np.multiply(d, z, out=kept)
+            np.subtract(d, kept, out=d_candidate)
+            np.subtract(before[i], now, out=d_z)
+            d_z *= kept
+            np.subtract(1, z, out=some)
+            d_z *= some
+            np.multiply(now, now, out=some)
+            some *= d_candidate
+            d_candidate -= some
+            np.multiply(d_candidate, r, out=d_past)
+            np.subtract(1, r, out=some)
+            some *= part[i]
+            np.multiply(d_past, some, out=d_r)
+            by_u += slope[i] @ before[i].T
+            np.matmul(p["u"], slope[i], out=carry)
+            carry += kept
+            carry *= fresh[i]
+            # From here on the slopes by what the inputs gave.
+            d_past[:] = d_candidate
+        grad["u"][:] = by_u.T
+        by_w = np.matmul(slope[:t], given[:t]).sum(axis=0).T
+        grad["w"][:], grad["b"][:] = by_w[:EMBEDDING], by_w[EMBEDDING]
+        words = inputs.reshape(-1)
+        order = np.argsort(words.astype(np.uint16), kind="stable")
+        ordered = words[order]
+        first = np.flatnonzero(np.diff(ordered, prepend=-1))
+        by_words = np.matmul(p["w"], slope[:t]).transpose(1, 0, 2).reshape(EMBEDDING, -1)
+        grad["embedding"][ordered[first]] = np.add.reduceat(by_words[:, order], first, axis=1).T
+        norm = float(np.sqrt(np.dot(grad_flat, grad_flat))) / len(own)
+        descend(flat, grad_flat, m, v, n, 1 / (len(own) * max(1.0, norm)), rate)
     return flat
 
 
@@ -372,27 +479,31 @@ def likelihoods(p: dict, numbers: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Natural logarithm of each text's probability, its state carried from the first token to the end."""
     counts = np.diff(off)
     order = np.argsort(-counts, kind="stable")
-    begin, n = off[:-1][order], counts[order]
+    n = counts[order]
     total = np.zeros(len(order))
-    inputs_x = p["embedding"] @ p["w"] + p["b"]
-    h = np.zeros((len(order), STATE), np.float32)
     longest = int(n[0]) if len(n) else 0
-    # Texts that still go on at each step.
+    # Texts that still go on at each step, the longest first; tokens in the order of the steps.
     live_at = len(n) - np.searchsorted(n[::-1], np.arange(longest), "right")
-    states, target, text, waiting = [], [], [], 0
-    for i in range(longest):
-        live = int(live_at[i])
-        place = begin[:live] + i
-        last = numbers[place - 1] if i else np.zeros(live, np.int64)
-        h = step(p, inputs_x[last], h[:live])[0]
+    begin_at = np.concatenate(([0], np.cumsum(live_at)))
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    text = np.repeat(rank, counts)
+    place = begin_at[np.arange(len(text)) - np.repeat(off[:-1] - off[0], counts)] + text
+    target, of = np.empty(len(text), np.int64), np.empty(len(text), np.int64)
+    target[place], of[place] = numbers[off[0] : off[0] + len(text)], text
+    inputs_x = p["embedding"] @ p["w"] + p["b"]
+    h = np.zeros((len(order), STATE), np.float32)
+    states: list[np.ndarray] = []
+    last, begin = np.zeros(len(order), np.int64), 0
+    for i, (at, end) in enumerate(zip(begin_at[:-1].tolist(), begin_at[1:].tolist(), strict=True), 1):
+        live = end - at
+        h = step(p, inputs_x[last[:live]], h[:live])[0]
         states.append(h)
-        target.append(numbers[place])
-        text.append(np.arange(live))
-        waiting += live
-        if waiting >= PREDICTED or i + 1 == longest:
-            logs, _ = predictions(p, np.concatenate(states), np.concatenate(target))
-            total += np.bincount(np.concatenate(text), logs, len(total))
-            states, target, text, waiting = [], [], [], 0
+        last = target[at:end]
+        if end - begin >= PREDICTED or i == longest:
+            logs, _ = predictions(p, np.concatenate(states), target[begin:end])
+            total += np.bincount(of[begin:end], logs, len(total))
+            states, begin = [], end
     out = np.zeros(len(order))
     out[order] = total
     return out
@@ -434,7 +545,7 @@ def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held: in
             n = np.diff(off)
             of = np.repeat(np.arange(len(n)), n)
             at, popular = v.find(hashes)
-            number = v.numbered(hashes, ending)
+            number = v.numbered(hashes, ending, (at, popular))
             tail = number >= WORDS
             logs = np.where(popular, log_counts[at] if len(log_counts) else 0, 0)
             known = np.bincount(of, popular, len(n)).astype(np.int64)

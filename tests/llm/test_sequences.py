@@ -303,6 +303,36 @@ def test_training_keeps_the_last_tokens():
     assert not np.array_equal(lm.train(begin, numbers[:1]), begin)
 
 
+def test_slopes_are_those_of_the_predictions():
+    rng = np.random.default_rng(2)
+    flat = lm.start(small_vocabulary()).astype(float)
+    h, number = rng.normal(size=(400, lm.STATE)), np.concatenate((rng.integers(0, lm.WORDS + lm.ENDINGS, 200), rng.integers(0, 70, 200)))
+    grad = np.zeros_like(flat)
+    back = lm.slopes(lm.views(flat), h, number, lm.views(grad))
+    for name in ("class_w", "class_b", "word_w", "word_b"):
+        move = np.zeros_like(flat)
+        lm.views(move)[name][:] = rng.normal(size=lm.SHAPES[name])
+        up, down = (lm.predictions(lm.views(flat + s * 1e-5 * move), h, number)[0].sum() for s in (1, -1))
+        assert (grad * move).sum() == pytest.approx((down - up) / 2e-5, rel=1e-4)
+    move = rng.normal(size=h.shape)
+    up, down = (lm.predictions(lm.views(flat), h + s * 1e-5 * move, number)[0].sum() for s in (1, -1))
+    assert (back * move).sum() == pytest.approx((down - up) / 2e-5, rel=1e-4)
+
+
+def test_a_long_part_is_learned_in_wider_windows(monkeypatch):
+    # 600,000 tokens took 469 windows of 64 streams, each with a step over all weights.
+    seen, descend = [], lm.descend
+    monkeypatch.setattr(lm, "descend", lambda *a: seen.append(a[4]) or descend(*a))
+    numbers = np.tile(np.array([0, 5, 900, 17, 4100, 33]), 100_000)
+    begin = lm.start(small_vocabulary())
+    after = lm.train(begin, numbers)
+    assert seen == list(range(1, lm.WINDOWS + 1))
+    score = [lm.likelihoods(lm.views(w), np.roll(numbers, -1)[:600], np.array([0, 600]))[0] / 600 for w in (begin, after)]
+    assert score[1] > score[0] + 2
+    # Shorter parts keep narrow windows, so that there are enough of them.
+    assert lm.streams_of(10**5) == lm.STREAMS < lm.streams_of(10**6) == lm.streams_of(10**9) == lm.WIDEST
+
+
 def test_the_network_learns_from_every_training_document(spark):
     docs = spark.createDataFrame([(i, f"w{i} w{i} w{i}") for i in range(400)], "key long, text string").repartition(3)
     v = lm.vocabulary(lm.word_counts(docs.select("text")))
