@@ -111,7 +111,7 @@ def unusable_reports(reports: DataFrame) -> DataFrame:
 
 def newest_reports(reports: DataFrame) -> DataFrame:
     """One version per report: the newest, then the highest document number, then any one text."""
-    text_sum = col(TEXT_SUM) if TEXT_SUM in reports.columns else F.sha2(col("CONTENT"), 256)
+    text_sum = col(TEXT_SUM) if TEXT_SUM in reports.columns else _sum(col("CONTENT"))
     return latest_version(
         reports,
         [CASE, DAY, "befund_nummer", "CONTENT_head"],
@@ -134,7 +134,7 @@ def report_choice(reports: DataFrame) -> DataFrame:
     """
     added = [c for c in parsed_reports(reports).columns if c not in reports.columns]
     rows = parsed_reports(reports.withColumn(ROW_SUM, _row_sum(reports)))
-    rows = rows.withColumn(TEXT_SUM, F.sha2(col("CONTENT"), 256))
+    rows = rows.withColumn(TEXT_SUM, _sum(col("CONTENT")))
     version = ["befund_datum", "DOKNR", TEXT_SUM, ROW_SUM]
     small = [c for c in added if c not in (CASE, DAY, *version)]
     distinct = rows.groupBy(*map(col, [CASE, DAY, *version])).agg(
@@ -152,8 +152,13 @@ def report_choice(reports: DataFrame) -> DataFrame:
     return alone.select(*[col(c) if c in (CASE, DAY) else F.col("_newest").getField(c).alias(c) for c in [*added, ROW_SUM, "_copies"]])
 
 
+def _sum(value: Column) -> Column:
+    """The first 128 bits of SHA-256 as bytes: they travel in every shuffle, and no codec makes them smaller."""
+    return F.substring(F.unhex(F.sha2(value, 256)), 1, 16)
+
+
 def _row_sum(reports: DataFrame) -> Column:
-    return F.sha2(F.to_json(F.struct(*map(col, reports.columns))), 256)
+    return _sum(F.to_json(F.struct(*map(col, reports.columns))))
 
 
 def usable_reports(reports: DataFrame, choice: DataFrame | None = None) -> DataFrame:

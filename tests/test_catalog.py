@@ -3,7 +3,9 @@
 import pytest
 
 import __spark_entry__ as entry
-from catalog import QUERIES
+from anteframe.plans import cohort
+from catalog import QUERIES, pipelines
+from catalog.registry import Tables
 from parity import connect, difference
 
 FOLDER = "/root/testdata/sf0.001"
@@ -102,3 +104,11 @@ def test_reports_are_parsed_once(spark):
     """The head's pattern is met in one pass; all others fetch by a checksum."""
     plan = final_plan(QUERIES["cohort_for_labelling"](spark, FOLDER))
     assert plan.count("ReusedExchange") >= 2 and "Window" not in plan
+
+
+def test_checksums_of_reports_travel_as_bytes(spark):
+    # As hexadecimal text each took 64 bytes in every shuffle of the choice.
+    reports = pipelines.report_source(Tables(spark, FOLDER))
+    choice = cohort.report_choice(reports).select(cohort.ROW_SUM).toArrow().column(0)
+    assert set(map(len, choice.to_pylist())) == {16}
+    assert len(set(choice.to_pylist())) == len(choice)
