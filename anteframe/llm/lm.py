@@ -36,7 +36,7 @@ EMBEDDING, STATE = 24, 32
 #: Streams and steps of a training window. Where a task has tokens for more than ``WINDOWS`` of these, it
 #: takes more streams, at most ``WIDEST``, and longer steps in proportion.
 STREAMS, WINDOW = 64, 20
-WINDOWS, WIDEST = 150, 256
+WINDOWS, WIDEST = 300, 256
 #: Slopes far below ``CALM`` hardly move a weight: few tokens say little about a rare word.
 RATE, MERGED, CALM = 4e-3, 8, 1e-4
 #: Rounds at least; further ones are the cube root of how often so many tokens are there.
