@@ -16,20 +16,26 @@ Counts of frequent words go along with the code; rows of rarer words meet their
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import itertools
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._sample import held_out
 from ._store import ready, stored
-from ._text import BLANKS, LOWER, Words, pieces, span_hash, text_bytes
+from ._text import BLANKS, LOWER, Words, give_back, pieces, span_hash, text_bytes
 
 #: Words predicted one by one (the end of a document is one of them), their classes, classes of the others.
 WORDS, CLASSES, ENDINGS = 4096, 64, 64
+#: A class is predicted by way of its group of so many classes.
+GROUPED = 16
+GROUPS = (CLASSES + ENDINGS) // GROUPED
 #: Words whose counts all tasks hold.
 POPULAR = 65_536
 EMBEDDING, STATE = 24, 32
@@ -45,13 +51,23 @@ ROUNDS, ROUND_TOKENS = 2, 500_000
 TOGETHER = 1_600_000
 #: States that are turned into predictions at once, at least.
 PREDICTED = 8192
-#: States that are turned into slopes at once, and weights that are moved at once.
-SLOPED = 1280
+#: Weights that are moved at once.
 BLOCK = 1 << 16
 
 END = np.uint64(0xE0F0E0F0E0F0E0F0)
 
 
+def ending_classes() -> np.ndarray:
+    """Ending class by a word's last two bytes as they are written, ``256 * one + other``; a blank before a single one."""
+    one, other = (x.astype(np.uint8).reshape(-1) for x in np.mgrid[:256, :256])
+    at = np.arange(0, 1 << 17, 2)
+    both = np.stack((LOWER[one], LOWER[other]), axis=1).reshape(-1)
+    return (span_hash(both, at + (one == 0x20), at + 2) % np.uint64(ENDINGS)).astype(np.int64)
+
+
+ENDING_OF = ending_classes()
+
+
 def tokens(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash and ending class of each token, the end after each text, and where texts begin."""
     data, off = text_bytes(batch.column("text"))
@@ -61,8 +77,8 @@ def tokens(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     at = np.arange(n) + np.repeat(np.arange(docs), counts)
     hashes, ending = np.full(n + docs, END), np.zeros(n + docs, np.int64)
     hashes[at] = words.hash
-    low = LOWER[data]
-    ending[at] = (span_hash(low, np.maximum(words.starts, words.ends - 2), words.ends) % np.uint64(ENDINGS)).astype(np.int64)
+    before = np.where(words.ends - words.starts > 1, data[words.ends - 2], 0x20)
+    ending[at] = ENDING_OF[before.astype(np.int64) * 256 + data[words.ends - 1]]
     return hashes, ending, np.concatenate(([0], np.cumsum(counts + 1)))
 
 
@@ -72,20 +88,23 @@ def word_counts(texts: DataFrame) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
-        def together() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            h, e, n = (np.concatenate(x) for x in zip(*held, strict=True))
-            word, first, at = np.unique(h, return_index=True, return_inverse=True)
-            return word, e[first], np.bincount(at, n, len(word)).astype(np.int64)
+        def together(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            h, e, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+            order = np.argsort(h)
+            h = h[order]
+            first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+            return h[first], e[order[first]], np.add.reduceat(n[order], first)
 
         for batch in pieces(batches, "text"):
             h, e, _ = tokens(batch)
-            held.append((h, e, np.ones(len(h), np.int64)))
+            # A piece first puts its own together, in a core's cache.
+            held.append(together([(h, e, np.ones(len(h), np.int64))]))
             if sum(len(x[0]) for x in held) > 1_000_000:
-                held = [together()]
+                held = [together(held)]
                 if len(held[0][0]) > 500_000:
                     yield out(*held.pop())
         if held:
-            yield out(*together())
+            yield out(*together(held))
 
     def out(word: np.ndarray, ending: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
         return pa.record_batch([pa.array(word.view(np.int64)), pa.array(ending.astype(np.int32)), pa.array(n)], ["word", "ending", "n"])
@@ -110,9 +129,21 @@ class Vocabulary:
         """Place among the popular words, and whether a word is one."""
         if not len(self.hashes):
             return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        # From the first one that shares the leading bits on: hashes are spread evenly, so it is few steps away at most.
+        at = self.begins[hashes >> np.uint64(48)]
+        behind = np.flatnonzero(self.hashes[at] < hashes)
+        while len(behind):
+            at[behind] += 1
+            behind = behind[at[behind] < len(self.hashes) - 1]
+            behind = behind[self.hashes[at[behind]] < hashes[behind]]
+        at = np.minimum(at, len(self.hashes) - 1)
         return at, self.hashes[at] == hashes
 
+    @cached_property
+    def begins(self) -> np.ndarray:
+        """Place of the first popular word, or the last of all, whose hash has these leading 16 bits or more."""
+        return np.minimum(np.searchsorted(self.hashes, np.arange(1 << 16, dtype=np.uint64) << np.uint64(48)), len(self.hashes) - 1)
+
     def numbered(self, hashes: np.ndarray, ending: np.ndarray, found: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
         """Number of a word predicted by itself, or ``WORDS`` plus its ending. ``found``: what ``find`` gave, if known."""
         at, known = found or self.find(hashes)
@@ -151,9 +182,12 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
 
 SHAPES = {
     "embedding": (WORDS + ENDINGS, EMBEDDING), "w": (EMBEDDING, 3 * STATE), "u": (STATE, 3 * STATE), "b": (3 * STATE,),
-    "class_w": (STATE, CLASSES + ENDINGS), "class_b": (CLASSES + ENDINGS,), "word_w": (CLASSES, STATE, WORDS // CLASSES), "word_b": (CLASSES, WORDS // CLASSES),
+    "group_w": (1, STATE, GROUPS), "group_b": (1, GROUPS), "class_w": (GROUPS, STATE, GROUPED), "class_b": (GROUPS, GROUPED),
+    "word_w": (CLASSES, STATE, WORDS // CLASSES), "word_b": (CLASSES, WORDS // CLASSES),
 }
 SIZE = sum(int(np.prod(s)) for s in SHAPES.values())
+#: A word is predicted by way of its group and its class; an ending's class has no words of its own.
+LEVELS = ("group", "class", "word")
 
 
 def views(flat: np.ndarray) -> dict[str, np.ndarray]:
@@ -174,9 +208,11 @@ def start(v: Vocabulary) -> np.ndarray:
     room = v.ending_total + 0.1 * (v.ending_distinct + 1)
     head = (v.head + 0.1).reshape(CLASSES, -1)
     p["word_b"][:] = np.log(head)
-    p["class_b"][:] = np.log(np.concatenate((head.sum(axis=1), room)))
-    p["class_w"][:] *= 0.2
-    p["word_w"][:] *= 0.2
+    classes = np.concatenate((head.sum(axis=1), room)).reshape(GROUPS, -1)
+    p["class_b"][:] = np.log(classes)
+    p["group_b"][:] = np.log(classes.sum(axis=1))
+    for level in LEVELS:
+        p[f"{level}_w"][:] *= 0.2
     return flat
 
 
@@ -200,91 +236,106 @@ def step(p: dict, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
     return new, r, z, candidate, part
 
 
-def class_of(number: np.ndarray) -> np.ndarray:
-    return np.where(number < WORDS, number // (WORDS // CLASSES), number - WORDS + CLASSES)
-
-
-def log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+_ROOMS: dict[tuple[str, str], np.ndarray] = {}
 
 
-def large(x: np.ndarray) -> bool:
-    """Whether an exponential might not hold an entry: far from that, as trained weights are, no row needs its own maximum."""
-    return bool(len(x)) and max(x.max(), -x.min()) > 60
+def room(use: str, shape: tuple[int, ...], dtype: np.dtype) -> np.ndarray:
+    """An array, not cleared, in memory that the next call for the same use takes again: fresh memory costs more than filling it."""
+    key, size = (use, np.dtype(dtype).str), int(np.prod(shape))
+    if key not in _ROOMS or len(_ROOMS[key]) < size:
+        _ROOMS[key] = np.empty(size, dtype)
+    return _ROOMS[key][:size].reshape(shape)
 
 
-def chosen_log(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """One entry of each row of ``log_softmax``; ``x`` is overwritten."""
-    rows = np.arange(len(x))
-    if large(x):
-        return log_softmax(x)[rows, at]
-    own = x[rows, at]
-    return own - np.log(np.exp(x, out=x) @ np.ones(x.shape[1], x.dtype))
-
+def class_of(number: np.ndarray) -> np.ndarray:
+    return np.where(number < WORDS, number // (WORDS // CLASSES), number - WORDS + CLASSES)
 
-def chosen_slope(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Shares of a softmax less one for the entry that came, in place of ``x``."""
-    if large(x):
-        x -= x.max(axis=1, keepdims=True)
-    np.exp(x, out=x)
-    x *= (1 / (x @ np.ones(x.shape[1], x.dtype)))[:, None]
-    x[np.arange(len(x)), at] -= 1
-    return x
 
+#: Class of each number; the first number of each class and each group, as classes ascend with the numbers.
+CLASS_OF = class_of(np.arange(WORDS + ENDINGS))
+FIRST = {"class": np.searchsorted(CLASS_OF, np.arange(0, CLASSES + ENDINGS + 1, GROUPED)), "word": np.searchsorted(CLASS_OF, np.arange(CLASSES + 1))}
+AT = {"group": CLASS_OF // GROUPED, "class": CLASS_OF % GROUPED, "word": np.arange(WORDS + ENDINGS) % (WORDS // CLASSES)}
 
-def class_logits(p: dict, h: np.ndarray) -> np.ndarray:
-    x = h @ p["class_w"]
-    x += p["class_b"] - p["class_b"].max()
-    return x
 
+def softmax_parts(logits: Callable[[], np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Exponentials of each row's logits, their sum, and by how much the row was lowered before.
 
-def word_logits(p: dict, h: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]], np.ndarray, np.ndarray]:
-    """Tokens predicted by themselves in order of their classes, each class with its run, their states and logits."""
-    order = np.argsort(kind.astype(np.uint8), kind="stable")
-    ends = np.searchsorted(kind[order], np.arange(CLASSES + 1)).tolist()
-    runs = [(c, slice(ends[c], ends[c + 1])) for c in range(CLASSES) if ends[c] < ends[c + 1]]
-    order = order[: ends[-1]]
-    h = h[order]
-    x = np.empty((len(h), WORDS // CLASSES), np.result_type(h, p["word_w"]))
-    bias = p["word_b"] - p["word_b"].max(axis=1, keepdims=True)
-    for c, run in runs:
-        own = x[run]
-        np.matmul(h[run], p["word_w"][c], out=own)
-        own += bias[c]
-    return order, runs, h, x
+    No row needs that while sums stay far from what a number can hold, as they do with trained weights.
+    """
+    x = logits()
+    ones = np.ones(x.shape[1], x.dtype)
+    with np.errstate(over="ignore"):
+        total = np.exp(x, out=x) @ ones
+    if not len(x) or (total.max() < 1e30 and total.min() > 1e-20):
+        return x, total, np.zeros(1, x.dtype)
+    x = logits()
+    top = x.max(axis=1)
+    x -= top[:, None]
+    return np.exp(x, out=x), x @ ones, top
+
+
+def levels(p: dict, h: np.ndarray, number: np.ndarray) -> Iterator[tuple[str, list[tuple[int, slice]], np.ndarray, Callable[[], np.ndarray]]]:
+    """For tokens in order of their numbers: level, runs that share weights, entries that came, and the logits."""
+    for level in LEVELS:
+        ends = [0, len(number)] if level == "group" else np.searchsorted(number, FIRST[level]).tolist()
+        runs = [(k, slice(a, z)) for k, (a, z) in enumerate(itertools.pairwise(ends)) if a < z]
+        w, b = p[f"{level}_w"], p[f"{level}_b"]
+        b = b - b.max(axis=1, keepdims=True)
+
+        def logits(w: np.ndarray = w, b: np.ndarray = b, runs: list = runs, n: int = ends[-1]) -> np.ndarray:
+            x = room("logits", (n, w.shape[2]), np.result_type(h, w))
+            for k, run in runs:
+                own = x[run]
+                np.matmul(h[run], w[k], out=own)
+                own += b[k]
+            return x
+
+        yield level, runs, AT[level].take(number[: ends[-1]]), logits
+
+
+def in_order(h: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    order = np.argsort(number.astype(np.uint16), kind="stable")
+    return order, h.take(order, axis=0, out=room("states", h.shape, h.dtype), mode="clip"), number.take(order)
 
 
 def predictions(p: dict, h: np.ndarray, number: np.ndarray, grad: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
     """Natural logarithm of each token's probability after its state; with ``grad`` the slopes too."""
-    kind = class_of(number)
-    out = chosen_log(class_logits(p, h), kind).astype(np.float64)
-    order, _, _, x = word_logits(p, h, kind)
-    out[order] += chosen_log(x, number[order] % (WORDS // CLASSES))
+    order, states, numbers = in_order(h, number)
+    found = np.zeros(len(h))
+    for level, runs, at, logits in levels(p, states, numbers):
+        kept: list[np.ndarray] = []
+
+        def noted(logits: Callable = logits, kept: list = kept, at: np.ndarray = at) -> np.ndarray:
+            x = logits()
+            kept[:] = [x.reshape(-1).take(np.arange(0, x.size, x.shape[1]) + at)]
+            return x
+
+        _, total, top = softmax_parts(noted)
+        found[: len(at)] += kept[0] - top - np.log(total)
+    out = np.empty(len(h))
+    out[order] = found
     return out, None if grad is None else slopes(p, h, number, grad)
 
 
 def slopes(p: dict, h: np.ndarray, number: np.ndarray, grad: dict) -> np.ndarray:
     """Slopes of the tokens' loss by their states; those by the weights go into ``grad``, which holds zeros."""
-    kind = class_of(number)
-    ones, back = np.ones(len(h), h.dtype), np.empty_like(h)
-    for at in range(0, len(h), SLOPED):
-        run = slice(at, at + SLOPED)
-        d = chosen_slope(class_logits(p, h[run]), kind[run])
-        grad["class_w"] += h[run].T @ d
-        grad["class_b"] += ones[run] @ d
-        np.matmul(d, p["class_w"].T, out=back[run])
-    order, runs, h, x = word_logits(p, h, kind)
-    d = chosen_slope(x, number[order] % (WORDS // CLASSES))
-    own = np.empty_like(h)
-    word_w, grad_w, grad_b = p["word_w"].transpose(0, 2, 1), grad["word_w"], grad["word_b"]
-    for c, run in runs:
-        slope = d[run]
-        np.matmul(h[run].T, slope, out=grad_w[c])
-        np.matmul(ones[run], slope, out=grad_b[c])
-        np.matmul(slope, word_w[c], out=own[run])
-    back[order] += own
-    return back
+    order, h, number = in_order(h, number)
+    ones, back, own = np.ones(len(h), h.dtype), room("back", h.shape, h.dtype), room("own", h.shape, h.dtype)
+    for level, runs, at, logits in levels(p, h, number):
+        d, total, _ = softmax_parts(logits)
+        d *= (1 / total)[:, None]
+        d.reshape(-1)[np.arange(0, d.size, d.shape[1]) + at] -= 1
+        w, grad_w, grad_b = p[f"{level}_w"].transpose(0, 2, 1), grad[f"{level}_w"], grad[f"{level}_b"]
+        for k, run in runs:
+            slope = d[run]
+            np.matmul(h[run].T, slope, out=grad_w[k])
+            np.matmul(ones[run], slope, out=grad_b[k])
+            np.matmul(slope, w[k], out=(back if level == "group" else own)[run])
+        if level != "group":
+            back[: len(at)] += own[: len(at)]
+    out = np.empty_like(back)
+    out[order] = back
+    return out
 
 
 def descend(flat: np.ndarray, grad: np.ndarray, m: np.ndarray, v: np.ndarray, n: int, share: float, rate: float = RATE) -> None:
@@ -311,6 +362,45 @@ def streams_of(tokens_: int) -> int:
     return min(WIDEST, max(STREAMS, tokens_ // (WINDOW * WINDOWS)))
 
 
+#: Cells of a step in one product: what the inputs give the candidate, both gates, what the state gives the candidate.
+CELLS, GIVEN = 4 * STATE, EMBEDDING + 1
+
+
+def joined(p: dict) -> np.ndarray:
+    """Weights of a step by inputs, one and state together; those of the gates with their sign turned."""
+    w, u = np.concatenate((p["w"], p["b"][None])).T, p["u"].T
+    a = np.zeros((CELLS, GIVEN + STATE), np.float32)
+    a[:STATE, :GIVEN] = w[2 * STATE :]
+    np.negative(w[: 2 * STATE], out=a[STATE : 3 * STATE, :GIVEN])
+    np.negative(u[: 2 * STATE], out=a[STATE : 3 * STATE, GIVEN:])
+    a[3 * STATE :, GIVEN:] = u[2 * STATE :]
+    return a
+
+
+def backward(p: dict) -> np.ndarray:
+    """Weights by which slopes of a step's cells become those of its inputs and of the state before."""
+    a = np.zeros((EMBEDDING + STATE, CELLS), np.float32)
+    a[:EMBEDDING, : 3 * STATE] = np.roll(p["w"], STATE, axis=1)
+    a[EMBEDDING:, STATE:] = p["u"]
+    return a
+
+
+def advance(a: np.ndarray, given: np.ndarray, cells: np.ndarray, new: np.ndarray) -> None:
+    """One step of ``step`` for many streams, a cell's streams side by side: ``cells`` and ``new`` states are filled."""
+    np.matmul(a, given, out=cells)
+    now, gates, part = cells[:STATE], cells[STATE : 3 * STATE], cells[3 * STATE :]
+    np.exp(gates, out=gates)
+    gates += 1
+    np.reciprocal(gates, out=gates)
+    np.multiply(gates[:STATE], part, out=new)
+    now += new
+    np.tanh(now, out=now)
+    np.subtract(given[GIVEN:], now, out=new)
+    new *= gates[STATE:]
+    new += now
+
+
+@np.errstate(over="ignore")
 def train(flat: np.ndarray, numbers: np.ndarray) -> np.ndarray:
     """Weights after one pass over all the tokens: truncated backpropagation with Adam.
 
@@ -332,98 +422,122 @@ def train(flat: np.ndarray, numbers: np.ndarray) -> np.ndarray:
     rows = np.where(there, numbers[np.minimum(places, len(numbers) - 1)], 0) if len(numbers) else places
     last = np.zeros(streams, np.int64)
 
-    def room(cells: int) -> np.ndarray:
+    def steps(cells: int) -> np.ndarray:
         return np.empty((WINDOW, cells, streams), np.float32)
 
-    before, part, candidate, states = (room(STATE) for _ in range(4))
-    gates, slope = room(2 * STATE), room(3 * STATE)
-    h, x, rec = np.zeros((STATE, streams), np.float32), np.empty((3 * STATE, streams), np.float32), np.empty((3 * STATE, streams), np.float32)
-    carry, kept, d_candidate, some = (np.empty((STATE, streams), np.float32) for _ in range(4))
-    given = np.ones((WINDOW, streams, EMBEDDING + 1), np.float32)
+    given, cells, slope, states, gone, back = (steps(n) for n in (GIVEN + STATE, CELLS, CELLS, STATE, EMBEDDING + STATE, STATE))
+    words, by_words, by_state = (np.empty((WINDOW, streams, n), np.float32) for n in (EMBEDDING, EMBEDDING, STATE))
+    given[:, EMBEDDING] = 1
+    h = np.zeros((STATE, streams), np.float32)
+    kept, some = (np.empty((STATE, streams), np.float32) for _ in range(2))
     for n, at in enumerate(range(0, length, WINDOW), 1):
         target = rows[at : at + WINDOW]
         own = np.flatnonzero(there[at : at + WINDOW])
         inputs = np.concatenate((last[None], target[:-1]))
         last = target[-1]
         t = len(target)
-        given[:t, :, :EMBEDDING] = p["embedding"][inputs]
+        p["embedding"].take(inputs, axis=0, out=words[:t], mode="clip")
+        given[:t, :EMBEDDING] = words[:t].transpose(0, 2, 1)
         # Number 0 is the end: the next document begins without a past.
         fresh = (inputs != 0).astype(np.float32)
-        w, u = np.ascontiguousarray(np.concatenate((p["w"], p["b"][None])).T), np.ascontiguousarray(p["u"].T)
+        a = joined(p)
         for i in range(t):
-            past, gate, now = before[i], gates[i], candidate[i]
-            np.multiply(h, fresh[i], out=past)
-            np.matmul(w, given[i].T, out=x)
-            np.matmul(u, past, out=rec)
-            np.add(x[: 2 * STATE], rec[: 2 * STATE], out=gate)
-            # The sigmoid by way of tanh.
-            gate *= 0.5
-            np.tanh(gate, out=gate)
-            gate *= 0.5
-            gate += 0.5
-            part[i] = rec[2 * STATE :]
-            np.multiply(gate[:STATE], part[i], out=now)
-            now += x[2 * STATE :]
-            np.tanh(now, out=now)
+            np.multiply(h, fresh[i], out=given[i, GIVEN:])
             h = states[i]
-            np.subtract(past, now, out=h)
-            h *= gate[STATE:]
-            h += now
+            advance(a, given[i], cells[i], h)
         grad_flat[:] = 0
-        back = np.zeros((t * streams, STATE), np.float32)
-        back[own] = slopes(p, np.ascontiguousarray(states[:t].transpose(0, 2, 1)).reshape(-1, STATE)[own], target.reshape(-1)[own], grad)
-        back = np.ascontiguousarray(back.reshape(t, streams, STATE).transpose(0, 2, 1))
-        by_u = np.zeros((3 * STATE, STATE), np.float32)
+        by_state[:t] = states[:t].transpose(0, 2, 1)
+        rows_ = by_state[:t].reshape(-1, STATE)
+        if len(own) == len(rows_):
+            rows_[:] = slopes(p, rows_, target.reshape(-1), grad)
+        else:
+            found = slopes(p, rows_[own], target.reshape(-1)[own], grad)
+            rows_[:] = 0
+            rows_[own] = found
+        back[:t] = by_state[:t].transpose(0, 2, 1)
+        a = backward(p)
         for i in range(t - 1, -1, -1):
-            d, r, z, now = back[i], gates[i, :STATE], gates[i, STATE:], candidate[i]
-            d_r, d_z, d_past = slope[i, :STATE], slope[i, STATE : 2 * STATE], slope[i, 2 * STATE :]
+            d, now, r, z, part = back[i], *cells[i].reshape(4, STATE, streams)
+            d_now, d_r, d_z, d_part = slope[i].reshape(4, STATE, streams)
             if i + 1 < t:
-                d += carry
+                d += gone[i + 1, EMBEDDING:]
             np.multiply(d, z, out=kept)
-            np.subtract(d, kept, out=d_candidate)
-            np.subtract(before[i], now, out=d_z)
+            np.subtract(d, kept, out=d_now)
+            np.subtract(given[i, GIVEN:], now, out=d_z)
             d_z *= kept
             np.subtract(1, z, out=some)
             d_z *= some
             np.multiply(now, now, out=some)
-            some *= d_candidate
-            d_candidate -= some
-            np.multiply(d_candidate, r, out=d_past)
+            some *= d_now
+            d_now -= some
+            np.multiply(d_now, r, out=d_part)
             np.subtract(1, r, out=some)
-            some *= part[i]
-            np.multiply(d_past, some, out=d_r)
-            by_u += slope[i] @ before[i].T
-            np.matmul(p["u"], slope[i], out=carry)
+            some *= part
+            np.multiply(d_part, some, out=d_r)
+            np.matmul(a, slope[i], out=gone[i])
+            carry = gone[i, EMBEDDING:]
             carry += kept
             carry *= fresh[i]
-            # From here on the slopes by what the inputs gave.
-            d_past[:] = d_candidate
-        grad["u"][:] = by_u.T
-        by_w = np.matmul(slope[:t], given[:t]).sum(axis=0).T
+        grad["u"][:] = np.matmul(slope[:t, STATE:], given[:t, GIVEN:].transpose(0, 2, 1)).sum(axis=0).T
+        # By what the inputs gave: the candidate's cells come before those of the gates.
+        by_w = np.roll(np.matmul(slope[:t, : 3 * STATE], given[:t, :GIVEN].transpose(0, 2, 1)).sum(axis=0), -STATE, axis=0).T
         grad["w"][:], grad["b"][:] = by_w[:EMBEDDING], by_w[EMBEDDING]
-        words = inputs.reshape(-1)
-        order = np.argsort(words.astype(np.uint16), kind="stable")
-        ordered = words[order]
+        order = np.argsort(inputs.reshape(-1).astype(np.uint16), kind="stable")
+        ordered = inputs.reshape(-1)[order]
         first = np.flatnonzero(np.diff(ordered, prepend=-1))
-        by_words = np.matmul(p["w"], slope[:t]).transpose(1, 0, 2).reshape(EMBEDDING, -1)
-        grad["embedding"][ordered[first]] = np.add.reduceat(by_words[:, order], first, axis=1).T
+        by_words[:t] = gone[:t, :EMBEDDING].transpose(0, 2, 1)
+        at_once = by_words[:t].reshape(-1, EMBEDDING).take(order, axis=0, out=words[:t].reshape(-1, EMBEDDING), mode="clip")
+        grad["embedding"][ordered[first]] = np.add.reduceat(at_once, first, axis=0)
         norm = float(np.sqrt(np.dot(grad_flat, grad_flat))) / len(own)
         descend(flat, grad_flat, m, v, n, 1 / (len(own) * max(1.0, norm)), rate)
     return flat
 
 
-def numbered(texts: DataFrame, v: Vocabulary, rounds: int) -> DataFrame:
-    """round, numbers: the word numbers of each text, two bytes each, and the round that learns from it."""
+NUMBERED = "key long, round int, n_tokens long, known long, base double, within double, numbers binary, words array<long>, times array<int>"
+
+
+def numbered(rows: DataFrame, v: Vocabulary) -> DataFrame:
+    """What is learned from and scored, of rows doc_id, key, learns, text, whose words are read no more after this.
+
+    doc_id, key; round that learns from the text, -1 if none does; n_tokens; known: popular words, base:
+    their part of the base score; within: logarithms of the popular ones among those that share an ending;
+    numbers of the words, two bytes each; words, times: the others, whose counts are joined later.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        log_counts = np.log10(v.counts + 0.1) if len(v.counts) else np.zeros(1)
+        ending_room = v.ending_room
         for batch in pieces(batches, "text"):
             hashes, ending, off = tokens(batch)
-            raw = v.numbered(hashes, ending).astype("<u2").tobytes()
-            cells = [raw[2 * a : 2 * z] for a, z in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
-            yield pa.record_batch([batch.column("round"), pa.array(cells, pa.binary())], ["round", "numbers"])
+            n = np.diff(off)
+            of = np.repeat(np.arange(len(n)), n)
+            at, popular = v.find(hashes)
+            number = v.numbered(hashes, ending, (at, popular))
+            tail = np.flatnonzero(number >= WORDS)
+            logs = log_counts[at] * popular
+            known = np.bincount(of, popular, len(n)).astype(np.int64)
+            base = np.bincount(of, logs, len(n)) - n * v.base_room
+            # Of no rows at all these would be whole numbers.
+            within = np.bincount(of[tail], logs[tail] - ending_room[ending[tail]], len(n)).astype(float)
+            rare = np.flatnonzero(~popular)
+            order = np.lexsort((hashes[rare], of[rare]))
+            word, owner = hashes[rare][order], of[rare][order]
+            new = np.flatnonzero(np.concatenate(([True], (word[1:] != word[:-1]) | (owner[1:] != owner[:-1])))) if len(word) else np.zeros(0, np.int64)
+            times = np.diff(np.append(new, len(word)))
+            ends = np.searchsorted(owner[new], np.arange(len(n) + 1)).astype(np.int32)
+            raw = pa.py_buffer(number.astype("<u2").tobytes())
+            columns = [
+                batch.column("doc_id"), batch.column("key"), batch.column("round"), pa.array(n), pa.array(known), pa.array(base), pa.array(within),
+                pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer((2 * off).astype(np.int32).tobytes()), raw]),
+                pa.ListArray.from_arrays(pa.array(ends), pa.array(word[new].view(np.int64))), pa.ListArray.from_arrays(pa.array(ends), pa.array(times.astype(np.int32))),
+            ]
+            yield pa.record_batch(columns, ["doc_id", "key", "round", "n_tokens", "known", "base", "within", "numbers", "words", "times"])
 
-    part = F.pmod(F.xxhash64("key", F.lit("network")), F.lit(rounds)).cast("int").alias("round")
-    return texts.select(part, "text").mapInArrow(run, "round int, numbers binary")
+    part = F.pmod(F.xxhash64("key", F.lit("network")), F.lit(rounds_of(v.total))).cast("int")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    rows = rows.select("doc_id", "key", F.when(F.col("learns"), part).otherwise(-1).alias("round"), "text")
+    # In order of the rounds, so that each of them skips what others read.
+    return stored(rows.mapInArrow(run, f"doc_id {kind}, {NUMBERED}").sortWithinPartitions("round"))
 
 
 def rounds_of(tokens_: int) -> int:
@@ -431,13 +545,15 @@ def rounds_of(tokens_: int) -> int:
 
 
 def trained(texts: DataFrame, v: Vocabulary) -> np.ndarray:
-    """Weights averaged over what tasks have learned from their texts, each with its number of tokens."""
+    """Weights learned from the texts of rows key, text."""
+    return learned(numbered(texts.select(F.lit(None).cast("long").alias("doc_id"), "key", F.lit(True).alias("learns"), "text"), v), v)
+
+
+def learned(every: DataFrame, v: Vocabulary) -> np.ndarray:
+    """Weights averaged over what tasks have learned from their numbered texts, each with its number of tokens."""
     flat = start(v)
-    rounds = rounds_of(v.total)
-    # In order of the rounds, so that each of them skips what others read.
-    every = stored(numbered(texts, v, rounds).sortWithinPartitions("round"))
-    tasks = texts.sparkSession.sparkContext.defaultParallelism
-    for turn in range(rounds):
+    tasks = every.sparkSession.sparkContext.defaultParallelism
+    for turn in range(rounds_of(v.total)):
         begin = flat
 
         def learn(batches: Iterable[pa.RecordBatch], begin: np.ndarray = begin) -> Iterator[pa.RecordBatch]:
@@ -475,6 +591,7 @@ def trained(texts: DataFrame, v: Vocabulary) -> np.ndarray:
     return flat
 
 
+@np.errstate(over="ignore")
 def likelihoods(p: dict, numbers: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Natural logarithm of each text's probability, its state carried from the first token to the end."""
     counts = np.diff(off)
@@ -491,19 +608,26 @@ def likelihoods(p: dict, numbers: np.ndarray, off: np.ndarray) -> np.ndarray:
     place = begin_at[np.arange(len(text)) - np.repeat(off[:-1] - off[0], counts)] + text
     target, of = np.empty(len(text), np.int64), np.empty(len(text), np.int64)
     target[place], of[place] = numbers[off[0] : off[0] + len(text)], text
-    inputs_x = p["embedding"] @ p["w"] + p["b"]
-    h = np.zeros((len(order), STATE), np.float32)
-    states: list[np.ndarray] = []
-    last, begin = np.zeros(len(order), np.int64), 0
+    a, wide = joined(p), max(1, len(order))
+    given_room, cells_room = np.ones((GIVEN + STATE) * wide, np.float32), np.empty(CELLS * wide, np.float32)
+    before, now = np.zeros(STATE * wide, np.float32), np.empty(STATE * wide, np.float32)
+    states = np.empty((PREDICTED + wide, STATE), np.float32)
+    last, begin, had = np.zeros(len(order), np.int64), 0, len(order)
     for i, (at, end) in enumerate(zip(begin_at[:-1].tolist(), begin_at[1:].tolist(), strict=True), 1):
         live = end - at
-        h = step(p, inputs_x[last[:live]], h[:live])[0]
-        states.append(h)
+        given = given_room[: (GIVEN + STATE) * live].reshape(-1, live)
+        given[:EMBEDDING] = p["embedding"].take(last[:live], axis=0).T
+        given[EMBEDDING] = 1
+        given[GIVEN:] = before[: STATE * had].reshape(STATE, had)[:, :live]
+        h = now[: STATE * live].reshape(STATE, live)
+        advance(a, given, cells_room[: CELLS * live].reshape(-1, live), h)
+        states[at - begin : end - begin] = h.T
+        before, now, had = now, before, live
         last = target[at:end]
         if end - begin >= PREDICTED or i == longest:
-            logs, _ = predictions(p, np.concatenate(states), target[begin:end])
+            logs, _ = predictions(p, states[: end - begin], target[begin:end])
             total += np.bincount(of[begin:end], logs, len(total))
-            states, begin = [], end
+            begin = end
     out = np.zeros(len(order))
     out[order] = total
     return out
@@ -519,60 +643,47 @@ def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held: in
     """
     ready(docs.sparkSession)
     key = F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), key.alias("key"), F.col(text).alias("text"))
-    learning = rows.where(~held_out(parts=held)).select("key", "text")
-    counts = stored(word_counts(learning.select("text")))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), key.alias("key"), F.col(text).alias("text")).withColumn("learns", ~held_out(parts=held))
+    counts = stored(word_counts(rows.where("learns").select("text")))
     v = vocabulary(counts)
-    flat = trained(learning, v)
-
-    def grouped(batches: Iterable[pa.RecordBatch]) -> Iterator[list[tuple]]:
-        held_: list[tuple] = []
-        for batch in pieces(batches, "text"):
-            held_.append((batch, *tokens(batch)))
-            if sum(len(x[1]) for x in held_) > TOGETHER:
-                yield held_
-                held_ = []
-        if held_:
-            yield held_
+    every = numbered(rows, v)
+    flat = learned(every, v)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = views(flat)
-        log_counts = np.log10(v.counts + 0.1)
-        ending_room = v.ending_room
         for group in grouped(batches):
-            hashes, ending = (np.concatenate([g[i] for g in group]) for i in (1, 2))
-            off = np.cumsum(np.concatenate([[0], *(np.diff(g[3]) for g in group)]))
-            n = np.diff(off)
-            of = np.repeat(np.arange(len(n)), n)
-            at, popular = v.find(hashes)
-            number = v.numbered(hashes, ending, (at, popular))
-            tail = number >= WORDS
-            logs = np.where(popular, log_counts[at] if len(log_counts) else 0, 0)
-            known = np.bincount(of, popular, len(n)).astype(np.int64)
-            base = np.bincount(of, logs, len(n)) - n * v.base_room
-            within = np.where(tail, logs - ending_room[ending], 0)
-            score = likelihoods(p, number, off) / np.log(10) + np.bincount(of, within, len(n))
-            # Rare words of each text: their counts are joined later.
-            rare = ~popular
-            order = np.lexsort((hashes[rare], of[rare]))
-            word, owner = hashes[rare][order], of[rare][order]
-            new = np.flatnonzero(np.concatenate(([True], (word[1:] != word[:-1]) | (owner[1:] != owner[:-1])))) if len(word) else np.zeros(0, np.int64)
-            times = np.diff(np.append(new, len(word)))
-            ends = np.searchsorted(owner[new], np.arange(len(n) + 1)).astype(np.int32)
-            columns = [
-                pa.concat_arrays([g[0].column("doc_id") for g in group]), pa.concat_arrays([g[0].column("key") for g in group]), pa.array(n), pa.array(known), pa.array(base), pa.array(score),
-                pa.ListArray.from_arrays(pa.array(ends), pa.array(word[new].view(np.int64))), pa.ListArray.from_arrays(pa.array(ends), pa.array(times.astype(np.int32))),
-            ]
-            yield pa.record_batch(columns, ["doc_id", "key", "n_tokens", "known", "base", "model", "words", "times"])
+            raw = [text_bytes(g.column("numbers")) for g in group]
+            off = np.concatenate(([0], np.cumsum(np.concatenate([np.diff(o) for _, o in raw]) // 2)))
+            score = likelihoods(p, np.concatenate([data.view("<u2") for data, _ in raw]), off) / np.log(10)
+            at = 0
+            for g in group:
+                model = pc.add(g.column("within"), pa.array(score[at : at + g.num_rows]))
+                at += g.num_rows
+                yield pa.record_batch([*(g.column(name) for name in kept), model], [*kept, "model"])
+        give_back()
+
+    def grouped(batches: Iterable[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+        held_, waiting = [], 0
+        for batch in batches:
+            # Numbers take two bytes each.
+            for part in pieces([batch], "numbers", 2 * TOGETHER):
+                held_.append(part)
+                waiting += pc.sum(part.column("n_tokens")).as_py()
+                if waiting > TOGETHER:
+                    yield held_
+                    held_, waiting = [], 0
+        if held_:
+            yield held_
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    part = stored(rows.mapInArrow(run, f"doc_id {kind}, key long, n_tokens long, known long, base double, model double, words array<long>, times array<int>"))
-    rare = part.select("key", F.explode(F.arrays_zip("words", "times")).alias("w")).select("key", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
+    kept = ["doc_id", "key", "n_tokens", "known", "base"]
+    schema = ", ".join(f"{name} {every.schema[name].dataType.simpleString()}" for name in kept)
+    part = stored(every.select(*kept, "within", "numbers").mapInArrow(run, f"{schema}, model double"))
+    rare = every.select("key", F.explode(F.arrays_zip("words", "times")).alias("w")).select("key", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
     met = rare.join(counts.select("word", "n"), "word", "left").groupBy("key").agg(
         F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + F.lit(0.1))).alias("logs"), F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("found")
     )
     copies = part.groupBy("key").agg(F.count("*").alias("copies"))
-    out = part.drop("words", "times").join(copies, "key").join(met, "key", "left")
+    out = part.join(copies, "key").join(met, "key", "left")
     logs = F.coalesce(F.col("logs") / F.col("copies"), F.lit(0.0))
     found = F.coalesce((F.col("found") / F.col("copies")).cast("long"), F.lit(0))
     return out.select(

@@ -15,7 +15,7 @@ from parity import connect, difference
 import corpus_pipeline
 from anteframe.llm import decontaminate, lm, packing, token_output
 from anteframe.llm._store import stored
-from anteframe.llm._text import NOT_ALNUM, Words, text_bytes
+from anteframe.llm._text import NOT_ALNUM, Words, span_hash, text_bytes
 from anteframe.llm._tokens import END, Encoder, default_files
 from anteframe.llm.queries import ORACLES, QUERIES
 
@@ -333,6 +333,41 @@ def test_a_long_part_is_learned_in_wider_windows(monkeypatch):
     assert lm.streams_of(10**5) == lm.STREAMS < lm.streams_of(2 * 10**6) == lm.streams_of(10**9) == lm.WIDEST
 
 
+def test_a_word_costs_few_exponentials_and_long_texts_score_in_any_order(monkeypatch):
+    # Each word took 192 before, 128 for its class alone.
+    p, rng, made = lm.views(lm.start(small_vocabulary())), np.random.default_rng(3), []
+    h, number = rng.normal(size=(500, lm.STATE)).astype(np.float32), rng.integers(0, lm.WORDS + lm.ENDINGS, 500)
+    exp = np.exp
+    monkeypatch.setattr(lm.np, "exp", lambda x, **how: made.append(x.size) or exp(x, **how))
+    logs = lm.predictions(p, h, number)[0]
+    assert sum(made) <= 100 * len(h)
+    monkeypatch.undo()
+    alone = [lm.predictions(p, h[i : i + 1], number[i : i + 1])[0][0] for i in range(50)]
+    assert logs[:50] == pytest.approx(alone, rel=1e-4)
+    # Logits that no exponential holds.
+    far = lm.predictions(p, h * np.float32(3000), number)[0]
+    assert np.isfinite(far).all() and (far <= 1e-3).all()
+
+
+def test_words_are_looked_up_as_by_search():
+    texts = ["A b aB Zz\tx\u00e9 \u00e9", None, "", "q", "  one TWO two\n\u20ac", "Ab"]
+    hashes, ending, off = lm.tokens(pa.record_batch([pa.array(texts)], ["text"]))
+    words = [w for t in texts for w in [*(t or "").encode().lower().split(), None]]
+    assert off.tolist() == [0, 7, 8, 9, 11, 16, 18]
+    for i, w in enumerate(words):
+        last = np.frombuffer((w or b"")[-2:], np.uint8)
+        want = span_hash(last, np.array([0]), np.array([len(last)]))[0] % np.uint64(lm.ENDINGS) if w else 0
+        assert ending[i] == want and (hashes[i] == lm.END) == (w is None)
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 3, 70_000):
+        known = np.unique(np.concatenate((rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2), rng.integers(0, 50, n).astype(np.uint64))))
+        v = lm.Vocabulary(known, known, np.arange(len(known)), 1, 1, known, known, known)
+        asked = np.concatenate((known, known + np.uint64(1), known - np.uint64(1), np.array([0, (1 << 64) - 1], np.uint64)))
+        at, found = v.find(asked)
+        assert found.tolist() == np.isin(asked, known).tolist()
+        assert (known[at[found]] == asked[found]).all()
+
+
 def test_the_network_learns_from_every_training_document(spark):
     docs = spark.createDataFrame([(i, f"w{i} w{i} w{i}") for i in range(400)], "key long, text string").repartition(3)
     v = lm.vocabulary(lm.word_counts(docs.select("text")))
