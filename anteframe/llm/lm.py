@@ -2,13 +2,13 @@
 
 Counts of all training words are taken by one grouping. The ``WORDS`` most frequent words are
 predicted one by one, in classes of similar frequency; all others by a class of their last letters,
-and within it by their counts: P(word) = P(class | before) * P(word | class). So the model gives
-every word, also one never seen, a probability, and all together sum to one.
+and within it by their counts: P(word) = P(group | before) * P(class | group, before) * P(word | class),
+in groups of a few classes. So the model gives every word, also one never seen, a probability, and all together sum to one.
 
 The recurrent network is trained by truncated backpropagation on every training text. The texts are
 dealt over rounds, more of them the more tokens there are. In a round one task for each core learns
 from its part, from a common start; their weights are averaged in a tree, and the next round goes on
-from there. Words are looked up once: the rounds read their numbers. Scoring carries the state
+from there. Words are looked up once: the rounds and the scoring read their numbers. Scoring carries the state
 through a document's windows to its end.
 
 Counts of frequent words go along with the code; rows of rarer words meet their counts by a join.
@@ -17,6 +17,7 @@ Counts of frequent words go along with the code; rows of rarer words meet their
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -241,7 +242,7 @@ _ROOMS: dict[tuple[str, str], np.ndarray] = {}
 
 def room(use: str, shape: tuple[int, ...], dtype: np.dtype) -> np.ndarray:
     """An array, not cleared, in memory that the next call for the same use takes again: fresh memory costs more than filling it."""
-    key, size = (use, np.dtype(dtype).str), int(np.prod(shape))
+    key, size = (use, np.dtype(dtype).str), math.prod(shape)
     if key not in _ROOMS or len(_ROOMS[key]) < size:
         _ROOMS[key] = np.empty(size, dtype)
     return _ROOMS[key][:size].reshape(shape)
